@@ -11,18 +11,27 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.dna import extract_section, revcomp
+from tagloom.functions.dna import extract_section, revcomp, strand_section
 from tagloom.operators.layout import Layout, read_layouts
 from tagloom.operators.search import search_library
 from tagloom.operators.variants import (
     AMBIGUOUS,
-    RANK_STEP,
+    RANK_BITS,
     building_block_variants,
     library_variants,
+    on_strands,
+)
+from tagloom.session import (
+    BROADCAST_ROWS,
+    end_span,
+    is_small,
+    lookup,
+    materialize,
+    sized_broadcast,
 )
-from tagloom.session import BROADCAST_ROWS, is_small, lookup, materialize, sized_broadcast
 
 SHIFTS = (0, -1, 1)
+CYCLES_PER_SPAN = 2
 YES_NO = ("YES", "NO")
 
 
@@ -73,16 +82,6 @@ def _strands(settings: DecodeSettings) -> list[str]:
     return {"YES": ["-"], "NO": ["+"], "BOTH": ["+", "-"]}[settings.revcomp]
 
 
-def _oriented(strand: str) -> str:
-    return "__fwd" if strand == "+" else "__rev"
-
-
-def orient(reads: DataFrame, settings: DecodeSettings) -> DataFrame:
-    """Add the strands to be decoded."""
-    makers = {"+": F.col("seq"), "-": revcomp("seq")}
-    return reads.withColumns({_oriented(s): makers[s] for s in _strands(settings)})
-
-
 def best_candidate(candidates: list[tuple[Column, Column, Column]]) -> tuple[Column, Column, Column]:
     """Lowest-ranked of (rank, library, position) columns, given in order of preference.
 
@@ -109,21 +108,25 @@ def call_library(
 ) -> DataFrame:
     """Library call at the layout position, moved by the wiggle shifts.
 
-    Adds strand, __seq (oriented), library_id (AMBIGUOUS on ties), lib_pos and lib_mismatches.
+    Adds strand, library_id (AMBIGUOUS on ties), lib_pos (on that strand) and lib_mismatches.
     """
-    out = orient(reads, settings)
+    n, out = F.length("seq"), reads
     found: dict[str, list] = {s: [] for s in _strands(settings)}
     for class_id, layout in enumerate(layouts):
-        table = variants.filter(F.col("class_id") == class_id)
+        out = end_span(out) if class_id else out
         for strand in found:
+            table = variants.filter((F.col("class_id") == class_id) & (F.col("strand") == strand))
             for shift in sorted(settings.shifts):
                 at = layout.library_start + shift
                 if at < 0:
                     continue
+                if strand == "+":
+                    window = extract_section("seq", at, layout.tag_length)
+                else:
+                    window = strand_section(
+                        "seq", n - at, F.lit(-1), F.lit(0), F.lit(0), layout.tag_length
+                    )
                 name = f"{strand}{class_id}_{shift}"
-                window = extract_section(
-                    _oriented(strand), layout.library_start, layout.tag_length, shift
-                )
                 out = lookup(
                     out,
                     table,
@@ -133,22 +136,19 @@ def call_library(
                     spread=F.col("read_id"),
                 )
                 found[strand].append((at, F.col(f"__r{name}"), F.col(f"__l{name}")))
-    keep = [c for c in out.columns if not c.startswith("__r") and not c.startswith("__l")]
-    if "__rev" in out.columns:
-        keep.append("__rev")
     calls = {}
     for strand, candidates in found.items():
         leftmost_first = sorted(candidates, key=lambda c: c[0])
         rank, library, pos = best_candidate([(r, lib, F.lit(at)) for at, r, lib in leftmost_first])
         calls.update({f"__rank{strand}": rank, f"__lib{strand}": library, f"__pos{strand}": pos})
-    out = out.select(*dict.fromkeys(keep), *[c.alias(n) for n, c in calls.items()])
-    return _pick_strand(out, settings)
+    out = out.select(*reads.columns, *[c.alias(n) for n, c in calls.items()])
+    return _pick_strand(out, reads.columns, settings)
 
 
-def _pick_strand(out: DataFrame, settings: DecodeSettings) -> DataFrame:
+def _pick_strand(out: DataFrame, kept: list[str], settings: DecodeSettings) -> DataFrame:
     """Strand with fewer library mismatches; forward on a tie."""
     strands = _strands(settings)
-    mismatches = {s: F.floor(F.col(f"__rank{s}") / RANK_STEP).cast("int") for s in strands}
+    mismatches = {s: F.shiftright(F.col(f"__rank{s}"), RANK_BITS) for s in strands}
     if len(strands) == 1:
         reverse = F.lit(strands[0] == "-")
     else:
@@ -160,17 +160,32 @@ def _pick_strand(out: DataFrame, settings: DecodeSettings) -> DataFrame:
             return of(strands[0])
         return F.when(reverse, of("-")).otherwise(of("+"))
 
-    dropped = [c for c in out.columns if c.startswith("__")]
     return out.select(
-        *[c for c in out.columns if c not in dropped],
+        *kept,
         F.when(reverse, "-").otherwise("+").alias("strand"),
-        pick(lambda s: F.col(_oriented(s))).alias("__seq"),
         pick(lambda s: F.col(f"__lib{s}")).alias("library_id"),
         pick(lambda s: F.col(f"__pos{s}")).alias("lib_pos"),
         pick(lambda s: mismatches[s]).alias("lib_mismatches"),
     )
 
 
+def with_anchor(called: DataFrame) -> DataFrame:
+    """Anchor of the called library tag in read coordinates and the key of its building blocks."""
+    reverse = F.col("strand") == "-"
+    return called.withColumns(
+        {
+            "__sign": F.when(reverse, -1).otherwise(1),
+            "__base": F.when(reverse, F.length("seq") - F.col("lib_pos")).otherwise(F.col("lib_pos")),
+            "__key": F.concat("strand", "library_id"),
+        }
+    )
+
+
+def _section(rel, length) -> Column:
+    at = F.col("lib_pos") + rel
+    return strand_section("seq", F.col("__base"), F.col("__sign"), at, rel, length)
+
+
 def attach_layout(reads: DataFrame, layouts: dict[Layout, list[str]], broadcast: bool = True) -> DataFrame:
     """Section positions of the called library as columns __off<i>, __len<i>, __uoff, __ulen."""
     spark = reads.sparkSession
@@ -220,7 +235,7 @@ def call_building_blocks(
     anchor = F.lit(0) if anchor is None else anchor
     out, tried = reads, []
     for n, shift in enumerate(settings.shifts):
-        key = extract_section("__seq", F.col("lib_pos") + offset + anchor, length, shift)
+        key = _section(F.lit(shift) + offset + anchor, length)
         open_ = F.lit(True) if only is None else only
         for earlier in tried:
             open_ = open_ & F.col(earlier).isNull()
@@ -229,7 +244,7 @@ def call_building_blocks(
         out = lookup(
             out,
             table,
-            {"library_id": F.col("library_id"), "obs": key},
+            {"key": F.col("__key"), "obs": key},
             {"id": f"__id{n}", "ambiguous": f"__a{n}"},
             broadcast,
             spread=F.col("read_id"),
@@ -259,6 +274,7 @@ def realign_sections(
     """
     out, anchor = reads, F.lit(0)
     for cycle in sorted(bbs, reverse=True):
+        out = end_span(out)
         offset, length = bbs[cycle]
         first = {k: f"__first_{k}" for k in (f"__bb{cycle}", f"__amb{cycle}", f"__sh{cycle}")}
         out = out.withColumn("__anchor", anchor).withColumnsRenamed(first)
@@ -338,14 +354,18 @@ def prepare_tables(
     found = None
     if settings.demultiplexer_algorithm == "regex":
         found = materialize(
-            library_variants(
-                libraries, settings.library_error_tolerance, settings.min_library_overlap
+            on_strands(
+                library_variants(
+                    libraries, settings.library_error_tolerance, settings.min_library_overlap
+                ),
+                _strands(settings),
             ),
             "library-lookup",
         )
     distance = max(layout.distance for layout in layouts)
     wanted = restrict_libraries(building_blocks, [lib for _, lib in ids])
-    bb = materialize(building_block_variants(wanted, distance), "bb-lookup")
+    bb = on_strands(building_block_variants(wanted, distance), _strands(settings))
+    bb = materialize(bb.withColumn("key", F.concat("strand", "library_id")), "bb-lookup")
     return DecodeTables(
         layouts,
         libraries,
@@ -382,18 +402,21 @@ def decode(
             settings.library_error_tolerance,
             settings.min_library_overlap,
         )
+    called = with_anchor(end_span(called))
     if settings.demultiplexer_mode == "library":
         called = attach_layout(called, layouts)
     bbs, (umi_offset, umi_length) = _section_columns(layouts, settings)
-    for cycle, (offset, length) in bbs.items():
+    for n, (cycle, (offset, length)) in enumerate(bbs.items()):
+        if n and n % CYCLES_PER_SPAN == 0:
+            called = end_span(called)
         called = call_building_blocks(
             called, tables.bb_lookup, cycle, offset, length, settings, tables.bb_broadcast
         )
     if settings.realign == "YES":
         called = realign_sections(called, tables.bb_lookup, bbs, settings, tables.bb_broadcast)
 
-    umi = extract_section("__seq", F.col("lib_pos") + umi_offset, umi_length)
-    umi_ok = (F.length(umi) == umi_length) & ~F.contains(umi, F.lit("N"))
+    called = called.withColumn("__umi", _section(F.lit(0) + umi_offset, umi_length))
+    umi_ok = (F.length("__umi") == umi_length) & ~F.contains("__umi", F.lit("N"))
     if settings.demultiplexer_algorithm == "regex":
         shortest = min(
             layout.library_start + min(settings.shifts) + min(settings.min_library_overlap, layout.tag_length)
@@ -404,7 +427,7 @@ def decode(
     single = settings.demultiplexer_mode == "single"
     present = {c: F.lit(True) if single else off.isNotNull() for c, (off, _) in bbs.items()}
     outcome = classify_outcome(
-        F.coalesce(F.length("__seq"), F.lit(0)) < shortest,
+        F.coalesce(F.length("seq"), F.lit(0)) < shortest,
         F.col("library_id"),
         {c: (present[c], F.col(f"__bb{c}"), F.col(f"__amb{c}")) for c in bbs},
         umi_ok,
@@ -414,20 +437,21 @@ def decode(
         "selection_id",
         "read_id",
         "strand",
-        "library_id",
+        F.nullif("library_id", F.lit(AMBIGUOUS)).alias("library_id"),
         bb_ids.alias("bb_ids"),
-        umi.alias("umi"),
+        "__umi",
         "lib_mismatches",
         outcome.alias("outcome"),
     )
     ok = F.col("outcome") == "ok"
+    umi = F.when(F.col("strand") == "-", revcomp("__umi")).otherwise(F.col("__umi"))
     return staged.select(
         "selection_id",
         "read_id",
         "strand",
-        F.nullif("library_id", F.lit(AMBIGUOUS)).alias("library_id"),
+        "library_id",
         F.when(ok, F.col("bb_ids")).alias("bb_ids"),
-        F.when(ok, F.col("umi")).alias("umi"),
+        F.when(ok, umi).alias("umi"),
         "lib_mismatches",
         "outcome",
     )

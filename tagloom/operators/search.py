@@ -94,12 +94,11 @@ def search_library(
     if len(rows) > max_libraries:
         raise ValueError(f"more than {max_libraries} library tags")
     tags = sorted((r.library_id, r.tag.encode()) for r in rows)
-    kept = [f for f in reads.schema.fields if f.name != "seq"]
+    kept = reads.schema.fields
     schema = T.StructType(
         kept
         + [
             T.StructField("strand", T.StringType()),
-            T.StructField("__seq", T.StringType()),
             T.StructField("library_id", T.StringType()),
             T.StructField("lib_pos", T.IntegerType()),
             T.StructField("lib_mismatches", T.IntegerType()),
@@ -116,7 +115,6 @@ def search_library(
             calls = {s: search_batch(sides[s], tags, tolerance, min_overlap) for s in strands}
             strand = np.full(len(forward), strands[0], dtype=object)
             mismatches, library, position = calls[strands[0]]
-            seqs = np.array(sides[strands[0]], dtype=object)
             for other in strands[1:]:
                 m, lib, pos = calls[other]
                 take = (m >= 0) & ((mismatches < 0) | (m < mismatches))
@@ -124,18 +122,16 @@ def search_library(
                 mismatches = np.where(take, m, mismatches)
                 position = np.where(take, pos, position)
                 library[take] = lib[take]
-                seqs[take] = np.array(sides[other], dtype=object)[take]
             none = mismatches < 0
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(n) for n in names],
                     pa.array(strand, pa.string()),
-                    pa.array([s.decode() for s in seqs], pa.string()),
                     pa.array(library, pa.string()),
                     pa.array(position, pa.int32(), mask=none),
                     pa.array(mismatches, pa.int32(), mask=none),
                 ],
-                names=[*names, "strand", "__seq", "library_id", "lib_pos", "lib_mismatches"],
+                names=[*names, "strand", "library_id", "lib_pos", "lib_mismatches"],
             )
 
     return reads.mapInArrow(kernel, schema)

@@ -1,6 +1,6 @@
 """Lookup tables of erroneous tags: turns approximate tag matching into equi-joins.
 
-Each table is unique on its lookup key. Two tags that explain an observed string equally well are
+Each table is unique on its lookup key and takes one grouping to build. Two tags that explain an observed string equally well are
 marked ambiguous here, once, so a read can never multiply in a join.
 """
 
@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.dna import hamming
+from tagloom.functions.dna import hamming, revcomp
 
 # N is part of the alphabet: an unread base is a mismatch to every tag base.
 BASES = ["A", "C", "G", "T", "N"]
 AMBIGUOUS = "*"
 # Lower is better: mismatches first, then the longer overlap.
-RANK_STEP = 1024
+RANK_BITS = 10
+RANK_STEP = 1 << RANK_BITS
 
 
 def _bases():
@@ -35,7 +36,6 @@ def substitute_once(variants: DataFrame) -> DataFrame:
             ),
         )
         .drop("p", "b")
-        .distinct()
     )
 
 
@@ -55,7 +55,6 @@ def shift_once(variants: DataFrame) -> DataFrame:
             F.concat(F.substr("cut", F.lit(1), F.col("q")), "b", F.substr("cut", F.col("q") + 1)),
         )
         .drop("p", "q", "b", "cut")
-        .distinct()
     )
 
 
@@ -77,11 +76,20 @@ def edit_variants(tags: DataFrame, distance: int) -> DataFrame:
     for d in range(1, distance + 1):
         level = substitute_once(levels[d - 1])
         if d >= 2:
-            level = level.unionByName(shift_once(levels[d - 2])).distinct()
+            level = level.unionByName(shift_once(levels[d - 2]))
         levels.append(level)
     return levels[distance]
 
 
+def on_strands(table: DataFrame, strands: list[str]) -> DataFrame:
+    """One copy per strand to be read: windows of a reverse strand stay unreversed in the reads,
+    so the few table rows are reverse-complemented instead of every read."""
+    both = F.explode(F.array(*[F.lit(s) for s in strands]))
+    return table.withColumn("strand", both).withColumn(
+        "obs", F.when(F.col("strand") == "-", revcomp("obs")).otherwise(F.col("obs"))
+    )
+
+
 def library_variants(libraries: DataFrame, tolerance: int = 2, min_overlap: int = 8) -> DataFrame:
     """(class_id, obs) -> rank, library_id over (class_id, library_id, tag).
 
@@ -98,21 +106,20 @@ def library_variants(libraries: DataFrame, tolerance: int = 2, min_overlap: int
         )
         .select("class_id", "library_id", F.substr("tag", F.lit(1), F.col("n")).alias("tag"))
     )
-    ranked = (
-        substitution_variants(prefixes, tolerance)
-        .withColumn("mismatches", hamming("tag", "obs"))
-        .withColumn("rank", F.col("mismatches") * RANK_STEP + (RANK_STEP - 1 - F.length("obs")))
-        .groupBy("class_id", "obs", "library_id")
-        .agg(F.min("rank").alias("rank"))
+    ranked = substitution_variants(prefixes, tolerance).withColumn(
+        "rank", hamming("tag", "obs") * RANK_STEP + (RANK_STEP - 1 - F.length("obs"))
     )
-    ties = ranked.groupBy("class_id", "obs", "rank").agg(
-        F.min("library_id").alias("low"), F.max("library_id").alias("high")
+    best = ranked.groupBy("class_id", "obs").agg(
+        F.min(F.struct("rank", "library_id")).alias("low"),
+        F.max(F.struct((-F.col("rank")).alias("neg"), "library_id")).alias("high"),
     )
-    best = ties.groupBy("class_id", "obs").agg(
-        F.min("rank").alias("rank"), F.min_by(F.struct("low", "high"), "rank").alias("hit")
+    unique = F.col("low.library_id") == F.col("high.library_id")
+    return best.select(
+        "class_id",
+        "obs",
+        F.col("low.rank").alias("rank"),
+        F.when(unique, F.col("low.library_id")).otherwise(AMBIGUOUS).alias("library_id"),
     )
-    one = F.when(F.col("hit.low") == F.col("hit.high"), F.col("hit.low"))
-    return best.select("class_id", "obs", "rank", F.coalesce(one, F.lit(AMBIGUOUS)).alias("library_id"))
 
 
 def building_block_variants(building_blocks: DataFrame, distance: int = 1) -> DataFrame:
@@ -120,23 +127,16 @@ def building_block_variants(building_blocks: DataFrame, distance: int = 1) -> Da
     tags = building_blocks.filter(F.col("tag").isNotNull() & (F.length("tag") > 0)).select(
         "library_id", "cycle", "id", "tag"
     )
-    near = (
-        edit_variants(tags, distance)
-        .withColumn("distance", F.levenshtein("tag", "obs"))
-        .groupBy("library_id", "cycle", "obs", "id")
-        .agg(F.min("distance").alias("distance"))
-    )
-    by_distance = near.groupBy("library_id", "cycle", "obs", "distance").agg(
-        F.min("id").alias("low"), F.max("id").alias("high")
-    )
-    best = by_distance.groupBy("library_id", "cycle", "obs").agg(
-        F.min_by(F.struct("low", "high"), "distance").alias("hit")
+    near = edit_variants(tags, distance).withColumn("distance", F.levenshtein("tag", "obs"))
+    best = near.groupBy("library_id", "cycle", "obs").agg(
+        F.min(F.struct("distance", "id")).alias("low"),
+        F.max(F.struct((-F.col("distance")).alias("neg"), "id")).alias("high"),
     )
-    unique = F.col("hit.low") == F.col("hit.high")
+    unique = F.col("low.id") == F.col("high.id")
     return best.select(
         "library_id",
         "cycle",
         "obs",
-        F.when(unique, F.col("hit.low")).alias("id"),
+        F.when(unique, F.col("low.id")).alias("id"),
         (~unique).alias("ambiguous"),
     )
