@@ -34,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer partitions than there are cores; a large one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def dna(x: Column, n: int) -> Column:
     """Base-4 digits of x, lowest first, as letters."""
     return F.concat(
@@ -143,7 +149,8 @@ def truth_reads(lineitem: DataFrame, read_id: Column | None = None, error: Colum
 
 
 def derived_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_quality(truth_reads(table(spark, sf_dir, "lineitem"))).select(
+    lines = table(spark, sf_dir, "lineitem").select(*READ_KEY, "l_returnflag")
+    return with_quality(truth_reads(spread(lines))).select(
         *READ_KEY, "selection_id", "read_id", "seq", "qual"
     )
 
@@ -155,7 +162,7 @@ def with_quality(reads: DataFrame) -> DataFrame:
 def noisy_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads with seeded low qualities, unread bases and short reads, for quality control."""
     e, n = F.col("e"), F.length("seq")
-    return truth_reads(table(spark, sf_dir, "lineitem")).select(
+    return truth_reads(spread(table(spark, sf_dir, "lineitem"))).select(
         "selection_id",
         "read_id",
         F.when(e == 4, F.translate("seq", "A", "N"))
@@ -172,7 +179,7 @@ def noisy_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """64-base read pairs of each insert, some with one bad low-quality base in the overlap."""
-    base = truth_reads(table(spark, sf_dir, "lineitem"))
+    base = truth_reads(spread(table(spark, sf_dir, "lineitem")))
     e = F.col("e")
     end = F.translate(F.reverse(F.expr("right(fwd, 64)")), "ACGT", "TGCA")
     one, two = F.substring("fwd", 1, 64), end

@@ -255,9 +255,12 @@ def call_building_blocks(
     for n in range(1, len(tried)):
         ambiguous = ambiguous | F.coalesce(F.col(f"__a{n}"), F.lit(False))
     used = F.coalesce(*[F.when(i.isNotNull(), F.lit(s)) for i, s in zip(ids, settings.shifts)])
-    return out.withColumns(
-        {f"__bb{cycle}": F.coalesce(*ids), f"__amb{cycle}": ambiguous, f"__sh{cycle}": used}
-    ).drop(*tried, *[f"__a{n}" for n in range(len(tried))])
+    return out.select(
+        *reads.columns,
+        F.coalesce(*ids).alias(f"__bb{cycle}"),
+        ambiguous.alias(f"__amb{cycle}"),
+        used.alias(f"__sh{cycle}"),
+    )
 
 
 def realign_sections(
@@ -342,14 +345,14 @@ def prepare_tables(
         raise ValueError(
             f"{len(layouts)} different read layouts: set demultiplexer_mode='library'"
         )
-    spark = library_sections.sparkSession
     ids = [(n, lib) for n, layout in enumerate(layouts) for lib in layouts[layout]]
-    classes = spark.createDataFrame(ids, "class_id int, library_id string")
-    libraries = (
-        library_sections.filter(F.col("kind") == "library")
-        .select("library_id", "tag")
-        .join(classes, "library_id")
-    )
+    libraries = library_sections.filter(F.col("kind") == "library").select("library_id", "tag")
+    if len(layouts) == 1:
+        libraries = libraries.withColumn("class_id", F.lit(0))
+    else:
+        spark = library_sections.sparkSession
+        classes = spark.createDataFrame(ids, "class_id int, library_id string")
+        libraries = libraries.join(classes, "library_id")
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     found = None
     if settings.demultiplexer_algorithm == "regex":

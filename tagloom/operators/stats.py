@@ -14,6 +14,18 @@ def decode_stats(decoded: DataFrame) -> DataFrame:
     return decoded.groupBy("selection_id", "library_id", "outcome").agg(n.alias("n"))
 
 
+def with_total_level(per_library: DataFrame) -> DataFrame:
+    """Each row once for its library and once for the total over libraries."""
+    level = F.explode(
+        F.array(
+            F.struct(F.lit("library").alias("level"), F.col("library_id").alias("library_id")),
+            F.struct(F.lit("total").alias("level"), F.lit(None).cast("string").alias("library_id")),
+        )
+    )
+    others = [c for c in per_library.columns if c != "library_id"]
+    return per_library.select(*others, level.alias("s")).select(*others, "s.level", "s.library_id")
+
+
 def merge_stats(stats: DataFrame) -> DataFrame:
     """Sum partial statistics and add a row per (selection, outcome) over all libraries.
 
@@ -22,17 +34,10 @@ def merge_stats(stats: DataFrame) -> DataFrame:
     keys = ["selection_id", "outcome"]
     per_library = stats.groupBy(*keys, "library_id").agg(F.sum("n").alias("n"))
     return (
-        per_library.groupBy(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct(F.lit("library").alias("level"), F.col("library_id").alias("library_id")),
-                    F.struct(F.lit("total").alias("level"), F.lit(None).cast("string").alias("library_id")),
-                )
-            ).alias("s"),
-        )
+        with_total_level(per_library)
+        .groupBy(*keys, "level", "library_id")
         .agg(F.sum("n").alias("n"))
-        .select("selection_id", "s.level", "s.library_id", "outcome", "n")
+        .select("selection_id", "level", "library_id", "outcome", "n")
     )
 
 
@@ -71,20 +76,16 @@ def decode_summary(counts: DataFrame, stats: DataFrame, n_cycles: int = 3) -> Da
     outcomes = outcome_names(n_cycles)
     numbers = ["compounds", "raw_count", "dedup_count", "count", *outcomes]
     joined = join_summary(stats, count_summary(counts), n_cycles)
-    rolled = joined.groupBy(
-        "selection_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("library").alias("level"), F.col("library_id").alias("library_id")),
-                F.struct(F.lit("total").alias("level"), F.lit(None).cast("string").alias("library_id")),
-            )
-        ).alias("s"),
-    ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers])
+    rolled = (
+        with_total_level(joined)
+        .groupBy("selection_id", "level", "library_id")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers])
+    )
     reads = sum((F.col(o) for o in outcomes[1:]), F.col(outcomes[0]))
     return rolled.select(
         "selection_id",
-        "s.level",
-        "s.library_id",
+        "level",
+        "library_id",
         *numbers,
         reads.alias("reads"),
         F.when(F.col("dedup_count") > 0, F.col("raw_count") / F.col("dedup_count")).alias(

@@ -74,9 +74,10 @@ def explode_collected(collected: DataFrame) -> DataFrame:
 def near_umis(tally: DataFrame) -> DataFrame:
     """For every UMI with a neighbour at one mismatch: the lowest-ranked UMI of the shared block.
 
-    Two rows per UMI are shuffled, to (compound, half). Inside a block the other half is masked at
-    each position in turn; UMIs with one masked form all differ there only, at most one per base.
-    The masked grouping refines the partitioning already there, so it needs no second shuffle.
+    Two rows per UMI are shuffled, to (compound, half). Blocks of one UMI, nearly all in sparse
+    data, end there. In the others the rest is masked at each position in turn; UMIs with one masked
+    form all differ there only, at most one per base. Both groupings refine the partitioning already
+    there, so they need no further shuffle.
     """
     half = F.floor(F.length("umi") / 2).cast("int")
     left, right = F.substr("umi", F.lit(1), half), F.substr("umi", half + 1)
@@ -92,10 +93,16 @@ def near_umis(tally: DataFrame) -> DataFrame:
         ).alias("h"),
     ).select(*COMPOUND, "c", "umi", "h.*")
     block = [*COMPOUND, "side", "block"]
-    masked = (
+    crowded = (
         halves.filter(F.length("rest") > 0)
         .repartition(*block)
-        .withColumn("p", F.explode(F.sequence(F.lit(1), F.length("rest"))))
+        .groupBy(*block)
+        .agg(F.collect_list(F.struct("c", "umi", "rest")).alias("members"))
+        .filter(F.size("members") > 1)
+    )
+    masked = (
+        crowded.select(*block, F.explode("members").alias("m"))
+        .select(*block, "m.*", F.explode(F.sequence(F.lit(1), F.length("m.rest"))).alias("p"))
         .withColumn(
             "mask",
             F.concat(

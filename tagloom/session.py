@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 # Replication of a lookup side that is too large to broadcast; spreads hot keys.
 LOOKUP_SALTS = 32
+_lookup_number = itertools.count()
 
 
 def local_session(cpus: str = "8", partitions: str | None = None, **conf: str) -> SparkSession:
@@ -97,14 +99,16 @@ def lookup(
     private key, so neither gathers in one task.
     """
     key_names = list(keys)
-    names = {k: f"__k{i}" for i, k in enumerate(key_names)}
+    # Key columns stay behind under unused names; the planner drops what no later step reads.
+    number = next(_lookup_number)
+    names = {k: f"__k{number}_{i}" for i, k in enumerate(key_names)}
     right = table.select(
         *[F.col(k).alias(names[k]) for k in key_names],
         *[F.col(v).alias(out) for v, out in values.items()],
     )
     if broadcast:
         condition = [F.col(names[k]) == expr for k, expr in keys.items()]
-        return left.join(F.broadcast(right), condition, "left").drop(*names.values())
+        return left.join(F.broadcast(right), condition, "left")
     last = key_names[-1]
     salted = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
     probes = {f"__p{i}": expr for i, expr in enumerate(keys.values())}

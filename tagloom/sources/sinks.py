@@ -155,7 +155,8 @@ def summary_path(path: str) -> str:
 
 def job_cells(jobs: DataFrame) -> DataFrame:
     """Job records as text cells, '-' for what is missing."""
-    stamp = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("-"))
+    utc = lambda c: F.convert_timezone(None, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+    stamp = lambda c: F.coalesce(F.date_format(utc(c), "yyyy-MM-dd HH:mm:ss"), F.lit("-"))
     dash = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
     usage = [c for c in ("wall_clock", "cpu_eff", "mem_used", "mem_eff") if c in jobs.columns]
     return jobs.select(
