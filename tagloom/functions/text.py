@@ -62,10 +62,30 @@ def iso_to_ts(text: Column | str) -> Column:
     return F.concat(F.regexp_replace(F.trim(_col(text)), "Z+$", ""), F.lit("+00:00")).try_cast("timestamp")
 
 
+def round_binary(value: Column | str, decimals: int = 2) -> Column:
+    """Round by the exact binary value, ties to even: 2.675 -> 2.67, 0.125 -> 0.12.
+
+    Spark rounds the shortest decimal text of a double instead (2.675 -> 2.68). Here value * scale is
+    held without error as product + remainder (Dekker's split), which decides the cases near a tie.
+    """
+    value = _col(value)
+    scale = F.lit(float(10**decimals))
+    big = value * F.lit(134217729.0)  # 2**27 + 1
+    high = big - (big - value)
+    low = value - high
+    product = value * scale
+    remainder = (high * scale - product) + low * scale
+    whole = F.floor(product).cast("double")
+    past_half = ((product - whole) - F.lit(0.5)) + remainder
+    odd = whole % 2 != 0
+    up = (past_half > 0) | ((past_half == 0) & odd)
+    return (whole + up.cast("double")) / scale
+
+
 def duration_min(start: Column | str, end: Column | str) -> Column:
     """Minutes between two timestamps, two decimals; null when negative."""
     minutes = (F.unix_micros(_col(end)) - F.unix_micros(_col(start))) / F.lit(60_000_000.0)
-    return F.when(minutes >= 0, F.round(minutes, 2))
+    return F.when(minutes >= 0, round_binary(minutes, 2))
 
 
 def wall_to_min(wall: Column | str) -> Column:
@@ -106,4 +126,6 @@ def sem(values: Column | str) -> Column:
 
 def fmt_float(value: Column | str, decimals: int = 2) -> Column:
     value = _col(value)
-    return F.when(value.isNull(), "-").otherwise(F.format_string(f"%.{decimals}f", value))
+    return F.when(value.isNull(), "-").otherwise(
+        F.format_string(f"%.{decimals}f", round_binary(value, decimals))
+    )

@@ -139,7 +139,7 @@ def resolve_resources(groups: DataFrame, requested: DataFrame) -> DataFrame:
     """
     fields = ("cpus", "memory", "time")
     names = requested.select(
-        F.trim(F.explode(F.split("process", r"\|"))).alias("name"), *fields
+        F.explode(F.transform(F.split("process", r"\|"), F.trim)).alias("name"), *fields
     )
     wanted = groups.select("process").distinct()
     candidates = wanted.select(

@@ -207,7 +207,7 @@ def layout_sql(source: str) -> str:
 JOBS = """
 ev AS (
   SELECT event_id, 'run_' || (user_id // 10) || '.log' AS run_id, event_id::VARCHAR AS job_id, event_id % 20 AS k, event_type,
-    epoch_ms(ts) AS s, epoch_ms(ts) + floor(value * 1000)::BIGINT AS x FROM events WHERE event_id % 20 <> 19),
+    epoch_us(ts) // 1000 AS s, epoch_us(ts) // 1000 + floor(value * 1000)::BIGINT AS x FROM events WHERE event_id % 20 <> 19),
 raw AS (
   SELECT run_id, job_id, event_id, k,
     CASE WHEN k=7 THEN 'RETRY:Again (2)' WHEN event_type='view' THEN 'DECODE:DecodeChunk (' || event_id || ')'
@@ -221,7 +221,7 @@ raw AS (
     CASE k WHEN 3 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN s - 300000 WHEN 9 THEN x + 60000 ELSE x END AS exited_ms
   FROM ev),
 jobs AS (
-  SELECT *, CASE WHEN exited_ms >= started_ms THEN round((exited_ms - started_ms) / 60000.0, 2) END AS duration_min FROM raw)"""
+  SELECT *, CASE WHEN exited_ms >= started_ms THEN printf('%.2f', (exited_ms - started_ms) / 60000::DOUBLE)::DOUBLE END AS duration_min FROM raw)"""
 
 USAGE = """
 seconds AS (SELECT event_id, floor(value * 10)::BIGINT AS sec FROM events WHERE event_id % 3 <> 0),
