@@ -52,14 +52,15 @@ def extract_section(seq: Column | str, start, length, shift=0) -> Column:
     return F.when(at >= 0, F.substr(seq, at + 1, length))
 
 
-def strand_section(seq: Column | str, base: Column, sign: Column, at: Column, rel, length) -> Column:
+def strand_section(seq: str, base: str, sign: str, at: str, rel, length) -> Column:
     """Section of the strand being read, taken from the read as it is and left unreversed.
 
-    `base` is the anchor in read coordinates and `sign` +1 or -1 for the strand; `at` is the
-    section start on the strand, `rel` the same relative to the anchor. A section cut off by the
-    read end is shorter.
+    Arguments are SQL texts. `base` is the anchor in read coordinates and `sign` +1 or -1 for the
+    strand; `at` is the section start on the strand, `rel` the same relative to the anchor. A section
+    cut off by the read end is shorter. One SQL text instead of a tree of column calls: a decode plan
+    holds many sections, and building them call by call takes longer than planning them.
     """
-    length = length if isinstance(length, Column) else F.lit(length)
-    raw = base + sign * rel + F.when(sign < 0, -length).otherwise(0)
-    cut = F.substr(_col(seq), F.greatest(raw, F.lit(0)) + 1, length + F.least(raw, F.lit(0)))
-    return F.when(at >= 0, cut)
+    raw = f"({base} + {sign} * ({rel}) + IF({sign} < 0, -({length}), 0))"
+    return F.expr(
+        f"IF({at} >= 0, substr({seq}, greatest({raw}, 0) + 1, {length} + least({raw}, 0)), NULL)"
+    )

@@ -110,7 +110,7 @@ def call_library(
 
     Adds strand, library_id (AMBIGUOUS on ties), lib_pos (on that strand) and lib_mismatches.
     """
-    n, out = F.length("seq"), reads
+    out = reads
     found: dict[str, list] = {s: [] for s in _strands(settings)}
     for class_id, layout in enumerate(layouts):
         out = end_span(out) if class_id else out
@@ -124,7 +124,7 @@ def call_library(
                     window = extract_section("seq", at, layout.tag_length)
                 else:
                     window = strand_section(
-                        "seq", n - at, F.lit(-1), F.lit(0), F.lit(0), layout.tag_length
+                        "seq", f"length(seq) - {at}", "-1", "0", 0, layout.tag_length
                     )
                 name = f"{strand}{class_id}_{shift}"
                 out = lookup(
@@ -182,8 +182,7 @@ def with_anchor(called: DataFrame) -> DataFrame:
 
 
 def _section(rel, length) -> Column:
-    at = F.col("lib_pos") + rel
-    return strand_section("seq", F.col("__base"), F.col("__sign"), at, rel, length)
+    return strand_section("seq", "__base", "__sign", f"(lib_pos + {rel})", rel, length)
 
 
 def attach_layout(reads: DataFrame, layouts: dict[Layout, list[str]], broadcast: bool = True) -> DataFrame:
@@ -205,14 +204,13 @@ def attach_layout(reads: DataFrame, layouts: dict[Layout, list[str]], broadcast:
 
 
 def _section_columns(layouts: dict[Layout, list[str]], settings: DecodeSettings):
-    """Per cycle (offset, length), then the UMI's: constants in single mode, columns otherwise."""
+    """Per cycle (offset, length), then the UMI's: numbers in single mode, column names otherwise."""
     if settings.demultiplexer_mode == "single":
         layout = next(iter(layouts))
         bbs = {c: (off, n) for c, off, n in layout.bbs}
         return bbs, (layout.umi_offset, layout.umi_length)
     cycles = sorted({c for layout in layouts for c, _, _ in layout.bbs})
-    bbs = {c: (F.col(f"__off{c}"), F.col(f"__len{c}")) for c in cycles}
-    return bbs, (F.col("__uoff"), F.col("__ulen"))
+    return {c: (f"__off{c}", f"__len{c}") for c in cycles}, ("__uoff", "__ulen")
 
 
 def call_building_blocks(
@@ -223,8 +221,8 @@ def call_building_blocks(
     length,
     settings: DecodeSettings,
     broadcast: bool = True,
-    anchor: Column | None = None,
-    only: Column | None = None,
+    anchor: str = "0",
+    only: str | None = None,
 ) -> DataFrame:
     """Call one cycle's building block: first wiggle shift with a unique tag wins.
 
@@ -232,15 +230,12 @@ def call_building_blocks(
     only for reads the earlier ones left open; the others carry a null key.
     """
     table = variants.filter(F.col("cycle") == cycle)
-    anchor = F.lit(0) if anchor is None else anchor
     out, tried = reads, []
     for n, shift in enumerate(settings.shifts):
-        key = _section(F.lit(shift) + offset + anchor, length)
-        open_ = F.lit(True) if only is None else only
-        for earlier in tried:
-            open_ = open_ & F.col(earlier).isNull()
-        if n or only is not None:
-            key = F.when(open_, key)
+        key = _section(f"{offset} + {anchor} + ({shift})", length)
+        still_open = [only] * (only is not None) + [f"{earlier} IS NULL" for earlier in tried]
+        if still_open:
+            key = F.when(F.expr(" AND ".join(still_open)), key)
         out = lookup(
             out,
             table,
@@ -250,16 +245,13 @@ def call_building_blocks(
             spread=F.col("read_id"),
         )
         tried.append(f"__id{n}")
-    ids = [F.col(c) for c in tried]
-    ambiguous = F.coalesce(F.col("__a0"), F.lit(False))
-    for n in range(1, len(tried)):
-        ambiguous = ambiguous | F.coalesce(F.col(f"__a{n}"), F.lit(False))
-    used = F.coalesce(*[F.when(i.isNotNull(), F.lit(s)) for i, s in zip(ids, settings.shifts)])
-    return out.select(
-        *reads.columns,
-        F.coalesce(*ids).alias(f"__bb{cycle}"),
-        ambiguous.alias(f"__amb{cycle}"),
-        used.alias(f"__sh{cycle}"),
+    ambiguous = " OR ".join(f"coalesce(__a{n}, false)" for n in range(len(tried)))
+    used = " ".join(f"WHEN {c} IS NOT NULL THEN {s}" for c, s in zip(tried, settings.shifts))
+    return out.selectExpr(
+        *[f"`{c}`" for c in reads.columns],
+        f"coalesce({', '.join(tried)}) AS __bb{cycle}",
+        f"{ambiguous} AS __amb{cycle}",
+        f"CASE {used} END AS __sh{cycle}",
     )
 
 
@@ -281,9 +273,9 @@ def realign_sections(
         offset, length = bbs[cycle]
         first = {k: f"__first_{k}" for k in (f"__bb{cycle}", f"__amb{cycle}", f"__sh{cycle}")}
         out = out.withColumn("__anchor", anchor).withColumnsRenamed(first)
-        open_ = F.col(first[f"__bb{cycle}"]).isNull() & (F.col("__anchor") != 0)
+        still_open = f"{first[f'__bb{cycle}']} IS NULL AND __anchor <> 0"
         out = call_building_blocks(
-            out, variants, cycle, offset, length, settings, broadcast, F.col("__anchor"), open_
+            out, variants, cycle, offset, length, settings, broadcast, "__anchor", still_open
         )
         bb, amb, sh = f"__bb{cycle}", f"__amb{cycle}", f"__sh{cycle}"
         out = out.withColumns(
@@ -418,8 +410,8 @@ def decode(
     if settings.realign == "YES":
         called = realign_sections(called, tables.bb_lookup, bbs, settings, tables.bb_broadcast)
 
-    called = called.withColumn("__umi", _section(F.lit(0) + umi_offset, umi_length))
-    umi_ok = (F.length("__umi") == umi_length) & ~F.contains("__umi", F.lit("N"))
+    called = called.withColumn("__umi", _section(umi_offset, umi_length))
+    umi_ok = F.expr(f"length(__umi) = {umi_length} AND NOT contains(__umi, 'N')")
     if settings.demultiplexer_algorithm == "regex":
         shortest = min(
             layout.library_start + min(settings.shifts) + min(settings.min_library_overlap, layout.tag_length)
@@ -428,7 +420,7 @@ def decode(
     else:
         shortest = settings.min_library_overlap
     single = settings.demultiplexer_mode == "single"
-    present = {c: F.lit(True) if single else off.isNotNull() for c, (off, _) in bbs.items()}
+    present = {c: F.lit(True) if single else F.col(off).isNotNull() for c, (off, _) in bbs.items()}
     outcome = classify_outcome(
         F.coalesce(F.length("seq"), F.lit(0)) < shortest,
         F.col("library_id"),

@@ -309,6 +309,9 @@ ORACLE_SQL = {
     "paired_lanes": f"""WITH {TRUTH} SELECT (l_orderkey % 3)::INT AS lane, (row_number() OVER (PARTITION BY l_orderkey % 3
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1)::BIGINT AS ordinal, read_id, read_id AS read_id_r2, fwd AS seq,
         CASE WHEN e IN (6, 8) THEN 1 ELSE 0 END::INT AS n_corrected FROM truth""",
+    "paired_scan": f"""WITH {TRUTH} SELECT (row_number() OVER (ORDER BY l_orderkey % 3,
+        l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1)::BIGINT AS ordinal, read_id, read_id AS read_id_r2, fwd AS seq,
+        CASE WHEN e IN (6, 8) THEN 1 ELSE 0 END::INT AS n_corrected FROM truth""",
     "pairing_qc": """WITH n AS (SELECT row_number() OVER (PARTITION BY l_orderkey % 3) - 1 AS o FROM lineitem)
         SELECT 'run' AS selection_id, count(*)::BIGINT AS n_r1, count(*) FILTER (o % 10 <> 3)::BIGINT AS n_r2,
         count(*) FILTER (o % 10 <> 3)::BIGINT AS n_pairs, 0::BIGINT AS n_id_mismatch FROM n""",

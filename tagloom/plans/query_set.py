@@ -20,7 +20,7 @@ from tagloom.plans import query_inputs as Q
 from tagloom.schemas import SELECTIONS
 from tagloom.session import materialize, new_path
 from tagloom.sources import sinks, tables
-from tagloom.sources.fastq import read_fastq, with_ordinal
+from tagloom.sources.fastq import read_fastq, read_fastq_pairs, with_ordinal
 from tagloom.sources.selections import selection_files, validate_settings
 from tagloom.streaming.incremental import incremental_counts, run_incremental
 
@@ -97,6 +97,16 @@ def paired_lanes(spark, sf_dir):
     return merged.select("lane", "ordinal", "read_id", "read_id_r2", "seq", "n_corrected")
 
 
+def paired_scan(spark, sf_dir):
+    """Pairs read side by side; mate 2 lies in other lanes than mate 1 but in the same order."""
+    r1, r2 = d.derived_pairs(spark, sf_dir)
+    one = Q.write_lanes(r1, "mate1")
+    two = [Q.write_lanes(r2, "mate2")]
+    pairs = read_fastq_pairs(spark, one, two, "run", range_bytes=1 << 18)
+    merged = P.merge_pairs(pairs)
+    return merged.select("ordinal", "read_id", "read_id_r2", "seq", "n_corrected")
+
+
 def pairing_qc(spark, sf_dir):
     both = _lane_mates(spark, sf_dir)
     return P.pairing_qc(P.mates(both, 1), P.mates(both, 2).filter(F.col("ordinal") % 10 != 3))
@@ -434,6 +444,7 @@ QUERIES = {
     "fastq_lanes_gz": fastq_lanes_gz,
     "pair_merge": pair_merge,
     "paired_lanes": paired_lanes,
+    "paired_scan": paired_scan,
     "pairing_qc": pairing_qc,
     "correction_qc": correction_qc,
     "read_filter": read_filter,

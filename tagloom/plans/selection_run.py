@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tagloom.operators.counts import count_compounds, deduplicate, synthon_counts
 from tagloom.operators.decode import DecodeSettings, decode, prepare_tables, restrict_libraries
 from tagloom.operators.enrich import enrichment
-from tagloom.operators.preprocess import mates, merge_pairs, pair_reads
+from tagloom.operators.preprocess import merge_pairs
 from tagloom.operators.stats import decode_stats, decode_summary, merge_stats, report_tables
 from tagloom.operators.umi import collect_umis, tally_outcomes
 from tagloom.session import materialize
 from tagloom.sources import sinks
-from tagloom.sources.fastq import read_fastq, with_ordinal, with_stream_ordinal
+from tagloom.sources.fastq import read_fastq, read_fastq_pairs
 
 MAX_SELECTIONS = 100_000
 
@@ -37,14 +37,7 @@ def prepare_reads(
     """Single-end reads as they are, or merged pairs of two lists of lanes."""
     if not read_2:
         return read_fastq(spark, read_1, 1, selection_id, **fastq_options)
-    sides = [
-        with_stream_ordinal(
-            with_ordinal(read_fastq(spark, p, m, selection_id, with_position=True, **fastq_options))
-        )
-        for m, p in ((1, read_1), (2, read_2))
-    ]
-    both = sides[0].unionByName(sides[1]).drop("lane")
-    return merge_pairs(pair_reads(mates(both, "R1"), mates(both, "R2")))
+    return merge_pairs(read_fastq_pairs(spark, read_1, read_2, selection_id, **fastq_options))
 
 
 def decode_selections(

@@ -25,7 +25,7 @@ CONFIG = {
     "error_correction": "levenshtein_dist:1,asymmetrical",
 }
 LIBRARIES = {"L1": "ACGTTGCAAC", "L2": "TTGACCGTGA"}
-BLOCKS = {1: {1: "AAAAAA", 2: "CCCCCC", 3: "AAAACC"}, 2: {1: "GGGGGG", 2: "TTTTTT"}}
+BLOCKS = {1: {1: "AAAAAA", 2: "CCCCCC", 3: "AAAACC", 4: "TCGATC"}, 2: {1: "GGGGGG", 2: "TTTTTT", 3: "GTCATC"}}
 
 
 def read(bb1="AAAAAA", bb2="GGGGGG", lib="L1", umi="ACGT", lead=""):
@@ -179,11 +179,11 @@ def test_library_mode_uses_own_layouts(spark, defs):
 
 def test_realign_adds_up_shifts(spark, defs):
     # One base lost before the tag and one more between the blocks: the first block is off by two.
-    seq = "CC" + "GATTACA" + "G" + "AAAACC" + "A" + "TTTTTT" + "G" + LIBRARIES["L1"] + "ACGT"
+    seq = "CC" + "GATTACA" + "G" + "TCGATC" + "A" + "GTCATC" + "G" + LIBRARIES["L1"] + "ACGT"
     plain = call(spark, defs, [seq, read()])
     assert plain[0][-1] == "bb1_unmatched"
     again = call(spark, defs, [seq, read()], realign="YES")
-    assert again[0][:4] == ("+", "L1", "3,2", "ACGT") and again[1] == plain[1]
+    assert again[0][:4] == ("+", "L1", "4,3", "ACGT") and again[1] == plain[1]
 
 
 def test_settings_are_checked():

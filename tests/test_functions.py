@@ -45,7 +45,7 @@ def test_strand_section_equals_reversing_first(spark):
     for base in range(0, 10):
         for rel in (-3, 0, 4):
             at = base + rel
-            col = dna.strand_section("s", F.length("s") - base, F.lit(-1), F.lit(at), F.lit(rel), 5)
+            col = dna.strand_section("s", f"length(s) - {base}", "-1", str(at), rel, 5)
             got = one(spark, dna.revcomp(col), s=seq)
             back = seq[::-1].translate(str.maketrans("ACGTN", "TGCAN"))
             want = back[at : at + 5] if at >= 0 else None
