@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.ids import bb_array
-from tagloom.operators.umi import absorbed_umis, count_roots
+from tagloom.operators.umi import absorbed_counts, count_roots
 from tagloom.schemas import COMPOUND, COUNTS
 
 MEASURES = ["count", "raw_count", "dedup_count"]
@@ -36,7 +36,7 @@ def count_compounds(
     The tally is read more than once: pass a stored one.
     """
     if cluster:
-        counts = count_roots(tally, absorbed_umis(tally, max_group))
+        counts = count_roots(tally, absorbed_counts(tally, max_group))
     else:
         counts = tally.groupBy(*COMPOUND).agg(
             F.count(F.lit(1)).alias("count"),

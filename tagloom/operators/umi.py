@@ -11,8 +11,9 @@ Two facts make that a distributed job with no large group:
 * For c(b) = 1 every neighbour absorbs it, and links among count-1 UMIs run both ways. So a
   connected component of count-1 UMIs has one root, or none if any member touches a larger count.
 
-Neighbours are found by blocking on half of the UMI: one mismatch leaves a half intact, so each UMI
-goes to two blocks (compound, half), each of at most 4^(length/2) UMIs however large the compound.
+Neighbours are found by blocking: one mismatch leaves all but one piece of six bases intact, so each
+UMI goes to a block per piece (compound, the rest of the UMI), of at most 4^6 UMIs however large the
+compound.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.components import min_labels
 from tagloom.schemas import COMPOUND
-from tagloom.session import materialize
+from tagloom.session import materialize, sized_broadcast
+
+# Bases masked per block: a block holds at most 4**PIECE distinct UMIs.
+PIECE = 6
 
 
 def tally_outcomes(decoded: DataFrame) -> DataFrame:
@@ -56,10 +60,24 @@ def rank_umis(tally: DataFrame) -> DataFrame:
     return tally.withColumn("umi_rank", F.struct((-F.col("c")).alias("neg_c"), "umi"))
 
 
-def collect_umis(tally: DataFrame) -> DataFrame:
-    """One row per compound with its UMI list; an exchange format, nothing computes on it."""
-    return tally.groupBy(*COMPOUND).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("umi").alias("k"), F.col("c")))).alias("umi_counts")
+def collect_umis(tally: DataFrame, max_umis: int = 1_000_000) -> DataFrame:
+    """One row per compound with its UMI list; an exchange format, nothing computes on it.
+
+    A compound with more than `max_umis` UMIs is spread over several rows, so no row grows without
+    bound; the rows together hold all UMIs.
+    """
+    large = (
+        tally.groupBy(*COMPOUND)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > max_umis)
+        .select(*COMPOUND, F.ceil(F.col("n") / max_umis).alias("shards"))
+    )
+    shard = F.pmod(F.xxhash64("umi"), F.coalesce("shards", F.lit(1)))
+    return (
+        tally.join(sized_broadcast(large), COMPOUND, "left")
+        .groupBy(*COMPOUND, shard.alias("shard"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("umi").alias("k"), F.col("c")))).alias("umi_counts"))
+        .drop("shard")
     )
 
 
@@ -72,30 +90,27 @@ def explode_collected(collected: DataFrame) -> DataFrame:
 
 
 def near_umis(tally: DataFrame) -> DataFrame:
-    """For every UMI with a neighbour at one mismatch: the lowest-ranked UMI of the shared block.
+    """For every UMI with a neighbour at one mismatch: the lowest-ranked UMI with the same mask.
 
-    Two rows per UMI are shuffled, to (compound, half). Blocks of one UMI, nearly all in sparse
-    data, end there. In the others the rest is masked at each position in turn; UMIs with one masked
-    form all differ there only, at most one per base. Both groupings refine the partitioning already
-    there, so they need no further shuffle.
+    One row per UMI and piece is shuffled, to (compound, UMI without the piece). Blocks of one UMI,
+    nearly all in sparse data, end there. In the others the piece is masked at each position in turn;
+    UMIs with one masked form all differ there only, at most one per base. Both groupings refine the
+    partitioning already there, so they need no further shuffle.
     """
-    half = F.floor(F.length("umi") / 2).cast("int")
-    left, right = F.substr("umi", F.lit(1), half), F.substr("umi", half + 1)
-    halves = tally.select(
+    at = F.col("side") * PIECE
+    pieces = tally.filter(F.length("umi") > 0).select(
         *COMPOUND,
         "c",
         "umi",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), left.alias("block"), right.alias("rest")),
-                F.struct(F.lit(1).alias("side"), right.alias("block"), left.alias("rest")),
-            )
-        ).alias("h"),
-    ).select(*COMPOUND, "c", "umi", "h.*")
+        F.explode(F.sequence(F.lit(0), (F.ceil(F.length("umi") / PIECE) - 1).cast("int"))).alias("side"),
+    ).select(
+        "*",
+        F.concat(F.substr("umi", F.lit(1), at), F.lit("_"), F.substr("umi", at + PIECE + 1)).alias("block"),
+        F.substr("umi", at + 1, F.lit(PIECE)).alias("rest"),
+    )
     block = [*COMPOUND, "side", "block"]
     crowded = (
-        halves.filter(F.length("rest") > 0)
-        .repartition(*block)
+        pieces.repartition(*block)
         .groupBy(*block)
         .agg(F.collect_list(F.struct("c", "umi", "rest")).alias("members"))
         .filter(F.size("members") > 1)
@@ -126,8 +141,8 @@ def near_umis(tally: DataFrame) -> DataFrame:
     )
 
 
-def absorbed_umis(tally: DataFrame, max_group: int = 10_000) -> DataFrame:
-    """The UMIs that are not cluster roots, one row each."""
+def absorbed_counts(tally: DataFrame, max_group: int = 10_000) -> DataFrame:
+    """UMIs per compound that are not cluster roots, as partial sums in `lost`."""
     near = materialize(near_umis(tally), "near-umis")
     by_larger = (
         near.filter((F.col("umi") != F.col("top")) & (F.col("top_c") >= 2))
@@ -135,39 +150,41 @@ def absorbed_umis(tally: DataFrame, max_group: int = 10_000) -> DataFrame:
         .select(*COMPOUND, "umi", "c")
         .distinct()
     )
+    by_larger = materialize(by_larger, "absorbed")
     links = near.filter(F.col("top_c") == 1).filter(F.col("umi") != F.col("top"))
     links = links.select(*COMPOUND, F.col("umi").alias("a"), F.col("top").alias("b")).distinct()
     labels = min_labels(links, COMPOUND, max_group)
-    touched = by_larger.filter(F.col("c") == 1).select(*COMPOUND, "umi", F.lit(True).alias("touched"))
-    labelled = labels.join(touched, [*COMPOUND, "umi"], "left")
-    reached = (
-        labelled.filter("touched").select(*COMPOUND, "label").distinct().withColumn("lost", F.lit(True))
+    # Count-1 UMIs with their component and whether a larger count touches them; one row each.
+    ones = labels.select(*COMPOUND, "umi", "label", F.lit(0).alias("touched")).unionByName(
+        by_larger.filter(F.col("c") == 1).select(
+            *COMPOUND, "umi", F.lit(None).cast("string").alias("label"), F.lit(1).alias("touched")
+        )
     )
-    by_link = (
-        labelled.join(reached, [*COMPOUND, "label"], "left")
-        .filter(F.col("lost") | (F.col("umi") != F.col("label")))
-        .select(*COMPOUND, "umi")
+    ones = ones.groupBy(*COMPOUND, "umi").agg(F.max("label").alias("label"), F.max("touched").alias("touched"))
+    # A component is summed up where its members are: a giant one is not gathered.
+    components = ones.groupBy(*COMPOUND, F.coalesce("label", "umi").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("touched").alias("touched")
     )
-    return by_larger.select(*COMPOUND, "umi").unionByName(by_link).distinct()
+    by_link = components.select(*COMPOUND, (F.col("n") - 1 + F.col("touched")).alias("lost"))
+    large = by_larger.filter(F.col("c") > 1).select(*COMPOUND, F.lit(1).cast("bigint").alias("lost"))
+    return large.unionByName(by_link)
 
 
 def cluster_umis(tally: DataFrame, max_group: int = 10_000, method: str = "directional") -> DataFrame:
     """Number of UMI clusters per compound as `count`."""
     if method != "directional":
         raise ValueError(f"unknown clustering method {method!r}")
-    return count_roots(tally, absorbed_umis(tally, max_group)).select(*COMPOUND, "count")
+    return count_roots(tally, absorbed_counts(tally, max_group)).select(*COMPOUND, "count")
 
 
 def count_roots(tally: DataFrame, absorbed: DataFrame) -> DataFrame:
-    """Raw, distinct and clustered counts in one grouping: absorbed UMIs enter as minus one."""
-    ones = tally.select(
-        *COMPOUND, F.col("c").alias("raw"), F.lit(1).alias("one"), F.lit(1).alias("root")
-    )
-    lost = absorbed.select(
-        *COMPOUND, F.lit(0).cast("bigint").alias("raw"), F.lit(0).alias("one"), F.lit(-1).alias("root")
-    )
+    """Raw, distinct and clustered counts in one grouping: absorbed UMIs enter with a minus."""
+    none = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    umis = tally.select(*COMPOUND, F.col("c").alias("raw"), one.alias("one"), one.alias("root"))
+    lost = absorbed.select(*COMPOUND, none.alias("raw"), none.alias("one"), (-F.col("lost")).alias("root"))
     return (
-        ones.unionByName(lost)
+        umis.unionByName(lost)
         .groupBy(*COMPOUND)
         .agg(
             F.sum("root").alias("count"),

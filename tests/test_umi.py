@@ -52,7 +52,7 @@ def random_tally(seed, groups, alphabet, length, size, heavy):
     return [("s", "L", g, u, c) for (g, u), c in out.items()]
 
 
-@pytest.mark.parametrize("seed,alphabet,length,size", [(1, "ACGT", 4, 60), (2, "AC", 7, 60), (3, "ACGT", 5, 200), (4, "AC", 1, 3)])
+@pytest.mark.parametrize("seed,alphabet,length,size", [(1, "ACGT", 4, 60), (2, "AC", 7, 60), (3, "ACGT", 5, 200), (4, "AC", 1, 3), (5, "AC", 14, 120)])
 @pytest.mark.parametrize("max_group", [0, 3, 10_000])
 def test_clusters_against_brute_force(spark, seed, alphabet, length, size, max_group):
     data = random_tally(seed, 6, alphabet, length, size, 20)
@@ -112,4 +112,7 @@ def test_tally_and_collect(spark):
     collected = collect_umis(tally)
     assert [tuple(x) for x in collected.first().umi_counts] == [("AA", 2), ("CC", 1)]
     assert rows(explode_collected(collected)) == rows(tally)
+    many = spark.createDataFrame([("s", "L", "1", f"{i:04d}", 1) for i in range(500)] + [("s", "L", "2", "A", 1)], SCHEMA)
+    spread = collect_umis(many, max_umis=100)
+    assert spread.filter("bb_ids = '1'").count() == 5 and rows(explode_collected(spread)) == rows(many)
     assert rows(merge_tallies(tally.unionByName(tally)), "umi", "c") == [("AA", 4), ("CC", 2)]
