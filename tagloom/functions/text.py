@@ -30,27 +30,34 @@ def dash_to_null(text: Column | str) -> Column:
     return F.nullif(F.trim(_col(text)), F.lit("-"))
 
 
-def kv_value(block: Column | str, key: str) -> Column:
-    """Value of a key in 'a: 1; b: 2'; of repeated keys the last; null when absent."""
+def kv_pairs(block: Column | str) -> Column:
+    """'a: 1; b: 2' -> array of (k, v)."""
     block = _col(block)
-    return F.trim(F.try_element_at(F.filter(_pairs(block), lambda p: p["k"] == key), F.lit(-1))["v"])
-
-
-def _pairs(block: Column) -> Column:
     return F.zip_with(
         F.regexp_extract_all(block, F.lit(LOG_KEY_VALUE), F.lit(1)),
         F.regexp_extract_all(block, F.lit(LOG_KEY_VALUE), F.lit(2)),
-        lambda k, v: F.struct(k.alias("k"), v.alias("v")),
+        lambda k, v: F.struct(k.alias("k"), F.trim(v).alias("v")),
     )
 
 
+def last_value(pairs: Column | str, key: str) -> Column:
+    """Value of a key among pairs; of repeated keys the last; null when absent."""
+    return F.try_element_at(F.filter(_col(pairs), lambda p: p["k"] == key), F.lit(-1))["v"]
+
+
+def kv_value(block: Column | str, key: str) -> Column:
+    return last_value(kv_pairs(block), key)
+
+
 def parse_kv_block(block: Column | str) -> Column:
     """'a: 1; b: 2' -> map; of repeated keys the last wins."""
-    block = _col(block)
-    keys = F.array_distinct(F.regexp_extract_all(block, F.lit(LOG_KEY_VALUE), F.lit(1)))
-    pairs = _pairs(block)
-    last = lambda key: F.element_at(F.filter(pairs, lambda p: p["k"] == key), -1)["v"]
-    return F.map_from_arrays(keys, F.transform(keys, lambda key: F.trim(last(key))))
+    empty = F.create_map().cast("map<string,string>")
+
+    def put(m, pair):
+        others = F.map_filter(m, lambda k, _: k != pair["k"])
+        return F.map_concat(others, F.create_map(pair["k"], pair["v"]))
+
+    return F.aggregate(kv_pairs(block), empty, put)
 
 
 def epoch_ms_to_ts(ms: Column | str) -> Column:

@@ -113,7 +113,7 @@ def min_labels(links: DataFrame, group: list[str], max_group: int) -> DataFrame:
     links = materialize(links, "links")
     sizes = links.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_group)
     large = materialize(sizes.select(*group), "large-groups")
-    n = large.limit(GROUPS_TO_BROADCAST + 1).count()
+    n = large.count()
     if n == 0:
         return labels_of_small_groups(links, group)
     if n > GROUPS_TO_BROADCAST:

@@ -16,7 +16,8 @@ from tagloom.functions.text import (
     epoch_ms_to_ts,
     extract,
     iso_to_ts,
-    kv_value,
+    kv_pairs,
+    last_value,
     mem_to_gb,
     pct_to_double,
     sem,
@@ -33,17 +34,18 @@ def classify_log_lines(lines: DataFrame) -> DataFrame:
     kind = F.when(submitted, "submitted").when(completed, "completed").otherwise("other")
     block = F.when(F.col("kind") == "completed", F.regexp_extract("text", LOG_COMPLETED, 1))
     fields = lines.withColumn("kind", kind).withColumn("block", block)
+    fields = fields.withColumn("pairs", kv_pairs("block"))
     is_sub = F.col("kind") == "submitted"
     return fields.select(
         "run_id",
         "line",
         "kind",
         F.when(is_sub, F.regexp_extract("text", LOG_SUBMITTED, 2))
-        .otherwise(F.coalesce(kv_value("block", "jobId"), F.lit("")))
+        .otherwise(F.coalesce(last_value("pairs", "jobId"), F.lit("")))
         .alias("job_id"),
         F.when(is_sub, F.trim(F.regexp_extract("text", LOG_SUBMITTED, 1))).alias("process"),
-        F.when(~is_sub, F.coalesce(kv_value("block", "status"), F.lit(""))).alias("status"),
-        F.when(~is_sub, F.coalesce(kv_value("block", "exit"), F.lit(""))).alias("exit_code"),
+        F.when(~is_sub, F.coalesce(last_value("pairs", "status"), F.lit(""))).alias("status"),
+        F.when(~is_sub, F.coalesce(last_value("pairs", "exit"), F.lit(""))).alias("exit_code"),
         dash_to_null(extract("block", LOG_STARTED)).alias("started"),
         dash_to_null(extract("block", LOG_EXITED)).alias("exited"),
     ).filter(F.col("kind") != "other")

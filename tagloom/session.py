@@ -63,15 +63,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the table has at most `limit` rows; stops counting just past it."""
-    limit = BROADCAST_ROWS if limit is None else limit
-    return df.limit(limit + 1).count() <= limit
+def is_small(stored: DataFrame, limit: int | None = None) -> bool:
+    """True when a stored table has at most `limit` rows; a count of Parquet footers."""
+    return stored.count() <= (BROADCAST_ROWS if limit is None else limit)
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Broadcast hint when the counted size allows it, else leave the join to shuffle."""
-    return F.broadcast(df) if is_small(df, limit) else df
+    """Store a lookup side, then broadcast it if its counted size allows, else leave it to shuffle.
+
+    Storing first means the size check does not run the side's plan a second time.
+    """
+    stored = materialize(df, "side")
+    return F.broadcast(stored) if is_small(stored, limit) else stored
 
 
 def end_span(df: DataFrame) -> DataFrame:
