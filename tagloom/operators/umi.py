@@ -64,7 +64,7 @@ def collect_umis(tally: DataFrame, max_umis: int = 1_000_000) -> DataFrame:
     """One row per compound with its UMI list; an exchange format, nothing computes on it.
 
     A compound with more than `max_umis` UMIs is spread over several rows, so no row grows without
-    bound; the rows together hold all UMIs.
+    bound; the rows together hold all UMIs. The tally is read twice: pass a stored one.
     """
     large = (
         tally.groupBy(*COMPOUND)

@@ -187,7 +187,7 @@ def library_layout(spark, sf_dir):
 
 def collect_umis(spark, sf_dir):
     path = new_path(spark, "collected")
-    sinks.write_collected(U.collect_umis(U.tally_umis(decoded(spark, sf_dir))), path)
+    sinks.write_collected(U.collect_umis(stored_tally(spark, sf_dir)), path)
     return U.explode_collected(tables.read_collected(spark, path))
 
 
