@@ -4,16 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm.fertility import quality_rules
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
+from tagloom.llm.warc import archive_pages
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+# No range, place or file names: those follow the files written, not the pages.
+OP9 = """
+WITH own AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), hashed AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM own
+), digested AS (
+  SELECT page_id, payload_bytes, list_aggregate(
+    list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(hex, CAST(1 + 10 * (i // 8) AS INT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31)::INT, 1)),
+    'string_agg', '') AS payload_digest
+  FROM hashed
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM firsts
+"""
+
 LLM_QUERIES = {
+    "op6_quality_rules": op6_quality_rules,
+    "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
 }
 
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {
+    "op9_warc": OP9,
+}

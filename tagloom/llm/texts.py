@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Bytes of text worked on at a time inside a task; bounds the temporaries, not the texts.
 PART_BYTES = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -68,19 +68,20 @@ def text_parts(column: pa.Array, limit: int = PART_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[LOWER[data]] * _POWER[: len(data)], out=total[1:])
+    np.cumsum(codes[data] * _POWER[: len(data)], out=total[1:])
     return mix64((total[ends] - total[starts]) * _INVERSE[starts])
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words (runs of bytes other than ASCII white space), and each word's row.
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (runs of bytes other than ASCII white space, A-Z lower-cased), and each word's row.
 
     Any length of text: work goes in pieces cut at white space. A single word longer than a piece is hashed as the
     sum of its pieces, so equal words always get equal hashes.
     """
-    solid = ~_SPACE[data]
+    codes = _BYTE[LOWER] if lower else _BYTE
+    solid = ~SPACE[data]
     before = np.empty(len(data), dtype=bool)
     before[:1] = False
     before[1:] = solid[:-1]
@@ -101,11 +102,11 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         if hi <= lo:
             pieces = range(base, int(ends[lo]), PART_BYTES)
             cut = [data[p : min(p + PART_BYTES, int(ends[lo]))] for p in pieces]
-            one = [_span_hashes(c, np.array([0]), np.array([len(c)]))[0] for c in cut]
+            one = [_span_hashes(c, np.array([0]), np.array([len(c)]), codes)[0] for c in cut]
             out[lo] = mix64(np.cumsum(np.array(one, np.uint64) * _POWER[: len(one)], dtype=np.uint64)[-1:])[0]
             lo += 1
             continue
-        out[lo:hi] = _span_hashes(data[base : int(ends[hi - 1])], starts[lo:hi] - base, ends[lo:hi] - base)
+        out[lo:hi] = _span_hashes(data[base : int(ends[hi - 1])], starts[lo:hi] - base, ends[lo:hi] - base, codes)
         lo = hi
     return out, np.searchsorted(offsets[1:], starts, side="right")
 
