@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm.decontaminate import contamination
 from tagloom.llm.fertility import quality_rules
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
@@ -14,6 +15,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -23,6 +28,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT n FROM bw
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS digest
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 # No range, place or file names: those follow the files written, not the pages.
 OP9 = """
 WITH own AS (
@@ -46,10 +79,12 @@ FROM firsts
 
 LLM_QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
 }
 
 LLM_SQL: dict[str, str] = {
+    "op8_decontamination": OP8,
     "op9_warc": OP9,
 }
