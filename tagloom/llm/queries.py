@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.decontaminate import contamination
 from tagloom.llm.fertility import quality_rules
+from tagloom.llm.secrets import scan_secrets
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
 from tagloom.llm.warc import archive_pages
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ FROM firsts
 """
 
 LLM_QUERIES = {
+    "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
