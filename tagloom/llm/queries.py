@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.llm.decontaminate import contamination
 from tagloom.llm.fertility import quality_rules
 from tagloom.llm.html_layout import extract_text
+from tagloom.llm.language_id import predict_languages
 from tagloom.llm.secrets import scan_secrets
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
 from tagloom.llm.warc import archive_pages
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -88,6 +93,7 @@ FROM firsts
 """
 
 LLM_QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_html_extraction": op4_html_extraction,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
