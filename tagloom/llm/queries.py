@@ -9,6 +9,7 @@ from tagloom.llm.fertility import quality_rules
 from tagloom.llm.html_layout import extract_text
 from tagloom.llm.language_id import predict_languages
 from tagloom.llm.secrets import scan_secrets
+from tagloom.llm.set_join import near_duplicates
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
 from tagloom.llm.warc import archive_pages
@@ -18,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -94,6 +99,7 @@ FROM firsts
 
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_set_join": op3_set_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
