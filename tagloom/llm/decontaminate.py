@@ -23,23 +23,31 @@ def words_array(text: Column) -> Column:
     return F.array_remove(F.split(lowered, NO_WORD), "")
 
 
-def window_hashes(words: Column, length: int) -> Column:
-    """A hash for each window of `length` words, in order; none if there are fewer words."""
+def with_window_hashes(rows: DataFrame, words: str, length: int, out: str) -> DataFrame:
+    """Adds `out`: a hash for each window of `length` words, in order; empty if there are fewer words.
 
-    def beside(left: Column, right: Column, shift: int) -> Column:
-        tail = F.slice(right, F.lit(shift + 1), F.greatest(F.size(right) - shift, F.lit(0)))
-        return F.zip_with(left, tail, lambda a, b: F.xxhash64(a, b))
+    Hashes of 1, 2, 4, 8 words are columns of their own, each made once from the one before; the set bits of `length`
+    are then put together.
+    """
+
+    def beside(left: str, right: str, shift: int) -> Column:
+        return F.zip_with(left, F.slice(right, F.lit(shift + 1), F.lit(1 << 30)), lambda a, b: F.xxhash64(a, b))
 
-    power, covered, made = F.transform(words, lambda w: F.xxhash64(w)), 0, None
-    size = 1
+    rows = rows.withColumn("power1__", F.transform(words, lambda w: F.xxhash64(w)))
+    powers = ["power1__"]
+    made, covered, size = None, 0, 1
     while size <= length:
         if length & size:
-            made = power if made is None else beside(made, power, covered)
-            covered += size
+            if made:
+                rows = rows.withColumn(f"made{size}__", beside(made, f"power{size}__", covered))
+            made, covered = f"made{size}__" if made else f"power{size}__", covered + size
+            powers.append(made)
+        if 2 * size <= length:
+            rows = rows.withColumn(f"power{2 * size}__", beside(f"power{size}__", f"power{size}__", size))
+            powers.append(f"power{2 * size}__")
         size *= 2
-        if size <= length:
-            power = beside(power, power, size // 2)
-    return F.slice(made, F.lit(1), F.greatest(F.size(words) - (length - 1), F.lit(0)))
+    rows = rows.withColumn(out, F.slice(made, F.lit(1), F.greatest(F.size(words) - (length - 1), F.lit(0))))
+    return rows.drop(*powers)
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = 10) -> DataFrame:
@@ -52,9 +60,8 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     windows = rows.select("item", length.alias("length"), F.explode(F.transform(starts, lambda i: F.slice("words", i, length))).alias("window"))
     grouped = windows.groupBy("length", "window").agg(F.collect_set("item").alias("items"))
-    hashes = [(F.col("length") == n, F.element_at(window_hashes(F.col("window"), n), 1)) for n in range(1, size + 1)]
-    picked = functools.reduce(lambda when, pair: when.when(*pair), hashes[1:], F.when(*hashes[0]))
-    return grouped.withColumn("hash", picked)
+    by_length = [with_window_hashes(grouped.filter(F.col("length") == n), "window", n, "hashes") for n in range(1, size + 1)]
+    return functools.reduce(DataFrame.unionByName, by_length).withColumn("hash", F.col("hashes")[0]).drop("hashes")
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 10) -> DataFrame:
@@ -69,7 +76,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     rows = docs.select(F.col(key).alias("k"), content.alias("c"), words_array(F.col(text)).alias("words"))
     hits = None
     for n in lengths:
-        places = rows.select("k", "c", F.posexplode(window_hashes(F.col("words"), n)).alias("pos", "hash"))
+        # The outer form: for the inner one the planner adds a filter on the array, below which it would make all hashes again.
+        places = with_window_hashes(rows, "words", n, "hashes").select("k", "c", F.posexplode_outer("hashes").alias("pos", "hash"))
         own = places.join(lookup.filter(F.col("length") == n), "hash")
         hits = own if hits is None else hits.unionByName(own)
     if hits is None:
