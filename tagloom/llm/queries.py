@@ -8,6 +8,7 @@ from tagloom.llm.decontaminate import contamination
 from tagloom.llm.fertility import quality_rules
 from tagloom.llm.html_layout import extract_text
 from tagloom.llm.language_id import predict_languages
+from tagloom.llm.lm_score import score_texts
 from tagloom.llm.secrets import scan_secrets
 from tagloom.llm.set_join import near_duplicates
 from tagloom.llm.texts import table
@@ -19,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ FROM firsts
 
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_lm_score": op2_lm_score,
     "op3_set_join": op3_set_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_secrets": op5_secrets,

@@ -75,7 +75,12 @@ def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes:
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs of bytes other than ASCII white space, A-Z lower-cased), and each word's row.
+    words, row, _, _ = located_words(data, offsets, lower)
+    return words, row
+
+
+def located_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (runs of bytes other than ASCII white space, A-Z lower-cased), each word's row, start and end.
 
     Any length of text: work goes in pieces cut at white space. A single word longer than a piece is hashed as the
     sum of its pieces, so equal words always get equal hashes.
@@ -108,7 +113,41 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple
             continue
         out[lo:hi] = _span_hashes(data[base : int(ends[hi - 1])], starts[lo:hi] - base, ends[lo:hi] - base, codes)
         lo = hi
-    return out, np.searchsorted(offsets[1:], starts, side="right")
+    return out, np.searchsorted(offsets[1:], starts, side="right"), starts, ends
+
+
+class HashIndex:
+    """Place of 64-bit keys in an array of distinct keys: an open-addressed table, looked up many keys at a time."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys.astype(np.uint64)
+        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 3))))
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, dtype=np.int32)
+        todo, place = np.arange(len(keys)), self._slot(self.keys)
+        while len(todo):
+            free = self.slots[place] < 0
+            self.slots[place[free]] = todo[free]
+            lost = self.slots[place] != todo
+            todo, place = todo[lost], (place[lost] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places, -1 for keys that aren't there."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        if not len(self.keys):
+            return out
+        open_, place = np.arange(len(keys)), self._slot(keys)
+        while len(open_):
+            got = self.slots[place]
+            real = got >= 0
+            hit = real & (self.keys[got] == keys[open_])
+            out[open_[hit]] = got[hit]
+            go = real & ~hit
+            open_, place = open_[go], (place[go] + 1) & self.mask
+        return out
 
 
 def shingles_of(words: np.ndarray, size: int = 5) -> np.ndarray:
