@@ -10,6 +10,7 @@ from tagloom.llm.html_layout import extract_text
 from tagloom.llm.language_id import predict_languages
 from tagloom.llm.lm_score import score_texts
 from tagloom.llm.secrets import scan_secrets
+from tagloom.llm.segmentations import encode_decode
 from tagloom.llm.set_join import near_duplicates
 from tagloom.llm.texts import table
 from tagloom.llm.token_counts import count_tokens
@@ -40,6 +41,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
 
@@ -109,6 +114,7 @@ LLM_QUERIES = {
     "op4_html_extraction": op4_html_extraction,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
