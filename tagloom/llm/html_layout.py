@@ -263,7 +263,7 @@ def render(source: str | None) -> dict:
     while work:
         node, parent, leaving, shown, pre = work.pop()
         if isinstance(node, str):
-            if shown and node:
+            if shown and node and not (parent.tag == "details" and "open" not in parent.get()):
                 (page.exact if pre else page.text)(node)
             continue
         tag = node.tag
