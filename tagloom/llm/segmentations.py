@@ -10,12 +10,14 @@ scores): its sample, then its own parts. So samples come distinct, best first, w
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,43 +26,66 @@ from tagloom.llm.texts import HashIndex, as_text, mix64
 
 SHIFT = 10.0
 # Bytes of text whose units share one lattice; bounds memory, not texts.
-PART_TEXT = 3 << 19
+PART_TEXT = 1 << 20
+_WORD = (1 << 64) - 1
+# Log weight of a piece per character, about; keeps masses of units in the range of floats.
+_PER_CHARACTER = 2.5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _roll(h: np.ndarray, code: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * _STEP
-    h += code
-    return h
+class PrefixTable:
+    """A trie of the pieces as tables, and log weights of pieces.
 
+    `step` has, for each prefix and each of the COMMON most frequent characters of the pieces, the prefix one character
+    longer (0: none); other characters are looked up by (prefix, character) in an index.
+    """
 
-class PrefixTable:
-    """Hashes of all prefixes of pieces, the piece each one is (or -1), and log weights of pieces."""
+    COMMON = 96
 
     def __init__(self, vocabulary: PieceTable):
-        pieces = list(vocabulary.ids.items())
-        codes = np.frombuffer("".join(p for p, _ in pieces).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        sizes = np.array([len(p) for p, _ in pieces])
-        start = np.cumsum(sizes) - sizes
-        ids = np.array([i for _, i in pieces])
-        h, seen = np.zeros(len(pieces), np.uint64), []
-        self.longest = int(sizes.max())
-        for k in range(self.longest):
-            on = sizes > k
-            h[on] = _roll(h[on], codes[start[on] + k])
-            seen.append((h[on], np.where(sizes[on] == k + 1, ids[on], -1)))
-        hashes, piece = (np.concatenate(c) for c in zip(*seen))
-        order = np.lexsort((-piece, hashes))
-        first = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
-        self.index, self.piece = HashIndex(hashes[order][first]), piece[order][first]
-        if len(first) and int(first.sum()) != len({p[:k] for p, _ in pieces for k in range(1, len(p) + 1)}):
-            raise ValueError("two prefixes have one hash")
+        prefixes = {"": 0}
+        for piece in vocabulary.ids:
+            for k in range(1, len(piece) + 1):
+                prefixes.setdefault(piece[:k], len(prefixes))
+        self.longest = max(map(len, vocabulary.ids))
+        self.piece = np.full(len(prefixes), -1, np.int32)
+        for piece, i in vocabulary.ids.items():
+            self.piece[prefixes[piece]] = i
+        often = [c for c, _ in Counter(c for p in vocabulary.ids for c in p).most_common(self.COMMON - 1)]
+        # Class 0: any other character.
+        self.classes = np.zeros(max(map(ord, often)) + 1, np.int32)
+        self.classes[[ord(c) for c in often]] = np.arange(1, len(often) + 1)
+        # Two bytes an entry where they do: the table is read at random, and should stay in the processor's cache.
+        self.step = np.zeros((len(prefixes), self.COMMON), np.uint16 if len(prefixes) < 1 << 16 else np.int32)
+        rare_keys, rare_values = [], []
+        for prefix, node in prefixes.items():
+            if prefix:
+                before, code = prefixes[prefix[:-1]], ord(prefix[-1])
+                kind = self.classes[code] if code < len(self.classes) else 0
+                if kind:
+                    self.step[before, kind] = node
+                else:
+                    rare_keys.append((before << 32) | code)
+                    rare_values.append(node)
+        self.rare, self.rare_values = HashIndex(np.array(rare_keys, np.uint64)), np.array([*rare_values, 0], self.step.dtype)
         rank = np.where(vocabulary.scores < -1e8, len(vocabulary.scores), -vocabulary.scores)
         weight = 1 / (rank + SHIFT)
         self.log_weight = np.log(weight / weight[vocabulary.normal].sum())
         # A byte piece has no rank: it counts as the last.
         self.log_byte = float(self.log_weight[vocabulary.normal].min())
 
+    def kinds(self, codes: np.ndarray) -> np.ndarray:
+        inside = codes < len(self.classes)
+        return np.where(inside, self.classes[np.where(inside, codes, 0)], 0)
+
+    def longer(self, node: np.ndarray, kind: np.ndarray, code: np.ndarray) -> np.ndarray:
+        out = self.step.ravel().take(node.astype(np.int64) * self.COMMON + kind)
+        other = np.flatnonzero(kind == 0)
+        if len(other):
+            found = self.rare.find((node[other].astype(np.uint64) << np.uint64(32)) | code[other].astype(np.uint64))
+            out[other] = self.rare_values[found]
+        return out
+
 
 @lru_cache(maxsize=2)
 def prefix_table(path: str) -> PrefixTable:
@@ -68,59 +93,82 @@ def prefix_table(path: str) -> PrefixTable:
 
 
 class Lattice:
-    """All ways through some units. Edges are ordered by their node; `log_p` is the log probability of an edge at its node."""
+    """All ways through some units. Edges are ordered by their node; `p` is the probability of an edge at its node."""
 
     def __init__(self, table: PrefixTable, units: list[str], heat: float):
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = table.kinds(codes)
         sizes = np.array([len(u) for u in units], dtype=np.int64)
         unit = np.repeat(np.arange(len(units)), sizes)
-        end = np.repeat(np.cumsum(sizes), sizes)
-        at, h, found = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
-        single = np.zeros(len(codes), dtype=bool)
+        end = np.cumsum(sizes)[unit]
+        at, node, found = np.arange(len(codes)), np.zeros(len(codes), table.step.dtype), []
+        room = end - at
+        count = np.zeros(len(codes), np.int32)
         for k in range(table.longest):
-            inside = at + k < end[at]
-            at, h = at[inside], h[inside]
-            h = _roll(h, codes[at + k])
-            place = table.index.find(h)
-            alive = place >= 0
-            at, h, place = at[alive], h[alive], place[alive]
+            inside = np.flatnonzero(room > k)
+            at, node, room = at.take(inside), node.take(inside), room.take(inside)
+            node = table.longer(node, kinds.take(at + k), codes.take(at + k))
+            alive = np.flatnonzero(node)
+            at, node, room = at.take(alive), node.take(alive), room.take(alive)
             if not len(at):
                 break
-            piece = table.piece[place]
-            real = piece >= 0
-            found.append((at[real], at[real] + k + 1, piece[real], table.log_weight[piece[real]]))
+            piece = table.piece.take(node)
+            real = np.flatnonzero(piece >= 0)
+            where, piece = at.take(real), piece.take(real)
+            found.append((where, k + 1, piece, table.log_weight.take(piece)))
+            count[where] += 1
             if k == 0:
-                single[at[real]] = True
-        bare = np.flatnonzero(~single)
+                single = count.astype(bool)
+        bare = np.flatnonzero(~single) if found else np.arange(len(codes))
         n_bytes = 1 + (codes[bare] >= 0x80).astype(int) + (codes[bare] >= 0x800) + (codes[bare] >= 0x10000)
-        found.append((bare, bare + 1, -1 - codes[bare].astype(np.int64), n_bytes * table.log_byte))
-        # Longest pieces first at each node: they are likely, so a draw seldom looks further.
-        a, b, piece, weight = (np.concatenate(c) for c in zip(*reversed(found)))
-        order = np.argsort(a, kind="stable")
-        a, b, piece, weight = a[order], b[order], piece[order], weight[order] * heat
+        found.append((bare, 1, -1 - codes[bare].astype(np.int32), n_bytes * table.log_byte))
+        count[bare] += 1
+        # Longest pieces first at each place: they are likely, so a draw seldom looks further.
+        free = np.cumsum(count)
+        total = int(free[-1])
+        self.piece, step, weight = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total)
+        for where, size, piece, w in [found[-1], *found[:-1]]:
+            free[where] -= 1
+            slot = free[where]
+            self.piece[slot], step[slot], weight[slot] = piece, size, w * heat
         # A node per character and one for the end of each unit.
         self.first_node = np.cumsum(sizes + 1) - (sizes + 1)
         self.last_node = self.first_node + sizes
-        self.start, self.end, self.piece = a + unit[a], b + unit[a], piece
-        nodes = len(codes) + len(units)
-        self.edges = np.searchsorted(self.start, np.arange(nodes + 1))
-        beta = np.zeros(nodes)
-        left = (end[a] - a).astype(np.int64)
-        short = left.max(initial=0) < 1 << 15
-        by_left = np.argsort(left.astype(np.int16) if short else left, kind="stable")
-        cuts = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            e = by_left[lo:hi]
-            if len(e):
-                node = self.start[e]
-                first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-                beta[node[first]] = np.logaddexp.reduceat(weight[e] + beta[self.end[e]], first)
-        self.log_p = weight + beta[self.end] - beta[self.start]
-        summed = np.cumsum(np.exp(self.log_p))
-        base = np.r_[0, summed][self.edges[:-1]][self.start]
-        self.upto = np.minimum(summed - base, 1.0)
+        of_char = np.arange(len(codes)) + unit
+        self.start = np.repeat(of_char, count)
+        self.end = self.start + step
+        per_node = np.zeros(len(codes) + len(units), np.int64)
+        per_node[of_char] = count
+        self.edges = np.r_[0, np.cumsum(per_node)]
+        # Probability mass from each node to the end of its unit, in units of a mean piece per character, nearest to the end first.
+        left = (end - np.arange(len(codes))).astype(np.int64)
+        order = np.argsort(left.astype(np.int16) if left.max() < 1 << 15 else left, kind="stable")
+        by_left = np.repeat(order, count[order])
+        by_left = np.arange(total) - np.repeat(np.cumsum(count[order]) - count[order], count[order]) + self.edges[of_char[by_left]]
+        cuts = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
+        edge_cuts = np.r_[0, np.cumsum(count[order])][cuts]
+        with np.errstate(over="ignore", under="ignore", divide="ignore", invalid="ignore"):
+            scaled = np.exp(weight + _PER_CHARACTER * heat * step)
+            mass = np.ones(len(per_node))
+            for lo, hi, a, b in zip(cuts[:-1], cuts[1:], edge_cuts[:-1], edge_cuts[1:]):
+                if hi > lo:
+                    e = by_left[a:b]
+                    first = np.cumsum(count[order[lo:hi]]) - count[order[lo:hi]]
+                    mass[of_char[order[lo:hi]]] = np.add.reduceat(scaled[e] * mass[self.end[e]], first)
+            self.p = scaled * mass[self.end] / mass[self.start]
+        if not (np.isfinite(self.p).all() and mass.min() > 1e-280):
+            # Beyond the range of floats (very long units): the same in logarithms.
+            mass = np.zeros(len(per_node))
+            for lo, hi, a, b in zip(cuts[:-1], cuts[1:], edge_cuts[:-1], edge_cuts[1:]):
+                if hi > lo:
+                    e = by_left[a:b]
+                    first = np.cumsum(count[order[lo:hi]]) - count[order[lo:hi]]
+                    mass[of_char[order[lo:hi]]] = np.logaddexp.reduceat(weight[e] + mass[self.end[e]], first)
+            self.p = np.exp(weight + mass[self.end] - mass[self.start])
+        summed = np.cumsum(self.p)
+        self.upto = summed - np.r_[0.0, summed][self.edges[self.start]]
         # The last edge of a node takes what rounding leaves.
-        self.upto[self.edges[1:][self.edges[1:] > self.edges[:-1]] - 1] = 1.0
+        self.upto[self.edges[1:][per_node > 0] - 1] = 1.0
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         edge = self.edges[nodes]
@@ -158,60 +206,67 @@ def walk(lattice: Lattice, unit: np.ndarray, node: np.ndarray, seed: np.ndarray,
     return edge[order], owner[order]
 
 
-def _truncated(log_mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Greatest Gumbel score of a set of this mass, given that it lies under the bound."""
-    g = log_mass - np.log(-np.log(u))
-    return np.where(np.isneginf(log_mass), -np.inf, -np.logaddexp(-bound, -g))
+def _truncated(mass: float, bound: float, u: float) -> float:
+    """Greatest Gumbel score of segmentations with this mass, given that it lies under the bound."""
+    if mass <= 0:
+        return -np.inf
+    return float(-np.logaddexp(-bound, -(np.log(mass) - np.log(-np.log(u)))))
 
 
-def _opened(log_p: np.ndarray, first: int, seed: np.uint64, sample: int, bound: float, taken: float) -> tuple[np.ndarray, np.ndarray]:
-    """For a path: log probability before each edge, and scores of the sets that leave it there (from `first` on)."""
-    before = np.r_[0.0, np.cumsum(log_p)]
-    with np.errstate(divide="ignore"):
-        other = np.log(np.maximum(-np.expm1(np.minimum(log_p[first:], 0.0)), 0.0))
-        if len(other):
-            rest = -np.expm1(np.minimum(log_p[first], 0.0)) - taken
-            other[0] = np.log(rest) if rest > 1e-12 else -np.inf
-    other[other < np.log(1e-12)] = -np.inf
-    scores = np.full(len(log_p), -np.inf)
-    u = uniforms(np.full(len(other), seed), 7_000_000 + sample, np.arange(first, len(log_p)))
-    scores[first:] = _truncated(before[first:-1] + other, np.full(len(other), bound), u)
-    return before, scores
+class TextSearch:
+    """The search over one text's segmentations, given a plain sample: samples so far, and the sets that leave each of them.
 
+    The sets that leave one sample are a family. The best score in a family depends on its whole mass alone, and the set
+    that attains it is any of them in proportion to mass, so sets are drawn when opened and not before.
+    """
 
-class TextSearch:
-    """The search over one text's segmentations, given a plain sample: samples so far, and the sets that leave each of them."""
+    def __init__(self, lattice: Lattice, units: np.ndarray, seed: int, path: np.ndarray, place: np.ndarray):
+        self.lattice, self.units, self.seed, self.draws = lattice, units, seed, 0
+        # Per sample: edges, place of each edge's unit, masses of its sets, where it left its parent, without which edges, best score of its sets.
+        self.paths: list[list] = []
+        self.add(path, place, 0, -1, [], float(-np.log(-np.log(self.uniform()))), 0.0)
 
-    def __init__(self, lattice: Lattice, units: np.ndarray, seed: np.uint64, path: np.ndarray, place: np.ndarray):
-        self.lattice, self.units, self.seed = lattice, units, seed
-        score = float(-np.log(-np.log(uniforms(np.array([seed], np.uint64), 9_000_000)[0])))
-        # Per sample: edges, place of each edge's unit, log probability before each edge, scores of its sets, and where it left its parent, without which edges.
-        self.paths: list[tuple] = []
-        self.add(path, place, 0, -1, [], score, 0.0)
+    def uniform(self) -> float:
+        self.draws += 1
+        h = (self.seed ^ (self.draws * 0x9E3779B97F4A7C15)) & _WORD
+        for _ in range(2):
+            h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & _WORD
+        return ((h ^ (h >> 32)) >> 11) * 2.0**-53 + 2.0**-54
 
     def add(self, path: np.ndarray, place: np.ndarray, first: int, left_at: int, barred: list[int], bound: float, taken: float) -> None:
-        before, scores = _opened(self.lattice.log_p[path], first, self.seed, len(self.paths), bound, taken)
-        self.paths.append((path, place, before, scores, left_at, barred))
+        p = self.lattice.p[path]
+        mass = np.cumprod(p)
+        mass[1:] = mass[:-1] * (1 - p[1:])
+        if len(p):
+            mass[0] = 1 - p[0]
+            before = mass[first] / (1 - p[first]) if p[first] < 1 else (np.prod(p[:first]))
+            mass[first] = before * max(0.0, 1 - p[first] - taken)
+        mass[:first] = 0
+        mass[mass < 1e-13 * np.r_[1.0, np.cumprod(p)][:-1]] = 0
+        self.paths.append([path, place, mass, left_at, barred, _truncated(float(mass.sum()), bound, self.uniform())])
 
     def threshold(self) -> float:
         """Best score among all segmentations that aren't samples."""
-        return max(float(p[3].max(initial=-np.inf)) for p in self.paths)
+        return max(f[5] for f in self.paths)
 
     def branch(self) -> tuple[int, np.ndarray] | None:
-        """Take out the set with the best score and draw where its sample leaves: place of the unit, and nodes to go on from."""
+        """Open the set with the best score and draw where its sample leaves: place of the unit, and nodes to go on from."""
         bound = self.threshold()
         if bound == -np.inf:
             return None
-        path, place, before, scores, left_at, without = next(p for p in self.paths if p[3].max(initial=-np.inf) == bound)
-        at = int(scores.argmax())
-        scores[at] = -np.inf
+        family = next(f for f in self.paths if f[5] == bound)
+        path, place, mass, left_at, without, _ = family
+        upto = np.cumsum(mass)
+        at = int(np.searchsorted(upto, self.uniform() * upto[-1], side="right"))
+        at = min(at, int(np.flatnonzero(mass)[-1]))
+        mass[at] = 0
+        family[5] = _truncated(float(mass.sum()), bound, self.uniform())
         barred = [*(without if left_at == at else []), int(path[at])]
         node = int(self.lattice.start[path[at]])
         options = np.arange(self.lattice.edges[node], self.lattice.edges[node + 1])
         options = options[~np.isin(options, barred)]
-        p = np.exp(self.lattice.log_p[options])
-        u = uniforms(np.array([self.seed], np.uint64), 8_000_000 + len(self.paths))[0]
-        edge = int(options[min(np.searchsorted(np.cumsum(p), u * p.sum(), side="right"), len(options) - 1)])
+        p = np.cumsum(self.lattice.p[options])
+        edge = int(options[min(np.searchsorted(p, self.uniform() * p[-1], side="right"), len(options) - 1)])
         own = int(place[at])
         self.open = (path[:at], place[:at], edge, own, at, barred, bound)
         # The rest of this unit, then all units after it, anew.
@@ -221,7 +276,7 @@ class TextSearch:
 
     def finish(self, rest: np.ndarray, rest_place: np.ndarray) -> None:
         head, place, edge, own, at, barred, bound = self.open
-        taken = float(np.exp(self.lattice.log_p[barred]).sum())
+        taken = float(self.lattice.p[barred].sum())
         self.add(np.concatenate([head, [edge], rest]), np.concatenate([place, [own], rest_place]), at, at, barred, bound, taken)
 
 
@@ -237,12 +292,12 @@ class Sampler:
     def __init__(self, path: str, k: int, heat: float):
         self.vocabulary, self.table, self.k, self.heat = piece_table(path), prefix_table(path), k, heat
 
-    def tokens(self, lattice: Lattice, path: np.ndarray) -> np.ndarray:
-        """Piece ids of a path; an edge of a character outside the vocabulary is its bytes."""
+    def tokens(self, lattice: Lattice, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of edges and how many each has: an edge of a character outside the vocabulary is its bytes."""
         ids = lattice.piece[path]
         bare = ids < 0
         if not bare.any():
-            return ids.astype(np.int32)
+            return ids, np.ones(len(ids), np.int64)
         code = np.where(bare, -1 - ids, 0)
         n = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
         place = np.cumsum(n) - n
@@ -251,15 +306,15 @@ class Sampler:
         for c in np.unique(code[bare]).tolist():
             for j, b in enumerate(chr(c).encode("utf-8", "surrogatepass")):
                 out[place[bare & (code == c)] + j] = self.vocabulary.byte_ids[b]
-        return out
+        return out, n
 
-    def sample(self, texts: list[str], seeds: np.ndarray) -> list[list[tuple[np.ndarray, float, float]]]:
-        """Of each text: (ids, log probability, log inclusion) of up to k segmentations."""
+    def sample(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Up to k segmentations of each text: ids of all of them, their lengths, log probabilities, log inclusions, and texts."""
         cut = [units_of(t) for t in texts]
         number = dict.fromkeys(chain.from_iterable(cut))
         names = list(number)
         if not names:
-            return [[(np.zeros(0, np.int32), 0.0, 0.0)] for _ in texts]
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts)), np.arange(len(texts))
         number.update(zip(names, range(len(names))))
         lattice = Lattice(self.table, names, self.heat)
         sizes = np.array([len(c) for c in cut])
@@ -271,7 +326,7 @@ class Sampler:
         searches = []
         for i in range(len(texts)):
             own = slice(paths[i], paths[i + 1])
-            searches.append(TextSearch(lattice, units[edges[i] : edges[i + 1]], seeds[i], plain[own], place[owner[own]]))
+            searches.append(TextSearch(lattice, units[edges[i] : edges[i + 1]], int(seeds[i]), plain[own], place[owner[own]]))
         for sample in range(1, self.k):
             # One step of every text's search, so that the walks of all texts are drawn together.
             going = [(t, found) for t in searches if (found := t.branch()) is not None]
@@ -284,11 +339,16 @@ class Sampler:
             cuts = np.searchsorted(owner, np.r_[0, np.cumsum(counts)])
             for (t, _), lo, hi in zip(going, cuts[:-1], cuts[1:]):
                 t.finish(rest[lo:hi], places[owner[lo:hi]])
-        out = []
-        for t in searches:
-            threshold = t.threshold()
-            out.append([(self.tokens(lattice, p[0]), float(p[2][-1]), log_inclusion(float(p[2][-1]), threshold)) for p in t.paths])
-        return out
+        found = [f[0] for t in searches for f in t.paths]
+        owner = np.repeat(np.arange(len(texts)), [len(t.paths) for t in searches])
+        sizes = np.array([len(f) for f in found])
+        path = np.concatenate(found)
+        ends = np.r_[0, np.cumsum(np.log(lattice.p[path]))][np.r_[0, np.cumsum(sizes)]]
+        log_p = np.diff(ends)
+        included = np.array([log_inclusion(p, searches[i].threshold()) for p, i in zip(log_p.tolist(), owner.tolist())])
+        ids, per_edge = self.tokens(lattice, path)
+        lengths = np.diff(np.r_[0, np.cumsum(per_edge)][np.r_[0, np.cumsum(sizes)]])
+        return ids, lengths, log_p, included, owner
 
 
 def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -320,12 +380,10 @@ def sample_segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text
         for batch in batches:
             texts, seeds = as_text(batch.column(1)), batch.column(2).to_numpy().view(np.uint64)
             for lo, hi in _parts(texts):
-                made = sampler.sample(texts.slice(lo, hi - lo).to_pylist(), seeds[lo:hi])
-                n = [len(m) for m in made]
-                flat = [s for m in made for s in m]
-                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(s[0]) for s in flat])], pa.int32()), pa.array(np.concatenate([s[0] for s in flat]), pa.int32()))
-                owner = pa.array(np.repeat(np.arange(lo, hi), n))
-                columns = [batch.column(0).take(owner), pa.array([i for c in n for i in range(c)], pa.int32()), ids, pa.array([s[1] for s in flat]), pa.array([s[2] for s in flat])]
+                ids, lengths, log_p, included, owner = sampler.sample(texts.slice(lo, hi - lo).to_pylist(), seeds[lo:hi])
+                number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(ids, pa.int32()))
+                columns = [batch.column(0).take(pa.array(owner + lo)), pa.array(number, pa.int32()), lists, pa.array(log_p), pa.array(included)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "sample", "ids", "log_prob", "log_inclusion"])
 
     made = rows.mapInArrow(work, f"row {kind}, sample int, ids array<int>, log_prob double, log_inclusion double")
@@ -353,7 +411,10 @@ def decode_ids(rows: DataFrame, ids: str = "ids", out: str = "decoded", path: st
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                texts = [None if i is None else b"".join(map(shown.__getitem__, i)).decode("utf-8", "replace").removeprefix(" ") for i in part.column(1).to_pylist()]
+                lists = part.column(1)
+                flat, cuts = lists.flatten().to_numpy(), np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]
+                whole = [b"".join(map(shown.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace").removeprefix(" ") for a, b in zip(cuts[:-1], cuts[1:])]
+                texts = [t if ok else None for t, ok in zip(whole, lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", out])
 
     return packed.mapInArrow(work, f"row {kind}, {out} string").select("row.*", out)

@@ -10,7 +10,7 @@ import pytest
 from tagloom.llm import fertility, language_id, lm_score, secrets, segmentations, set_join, token_counts
 from tagloom.llm import decontaminate as dc
 from tagloom.llm.pieces import default_path, merge_one, piece_table, units_of
-from tagloom.llm.texts import words_of
+from tagloom.llm.texts import mix64, words_of
 from tests.llm import cases
 
 PIECES = "piece_bpe_32k.model"
@@ -212,17 +212,27 @@ def test_segmentations(spark, docs, rows, empty):
     cases.same_rows([(r.doc_id, r.sample, r.ids) for r in got], [(r.doc_id, r.sample, r.ids) for r in again])
 
 
+def samples(sampler, texts, seeds):
+    """Of each text: (ids, log probability, log inclusion) of its segmentations."""
+    ids, lengths, log_p, included, owner = sampler.sample(texts, seeds)
+    cuts = np.split(ids, np.cumsum(lengths)[:-1])
+    out = [[] for _ in texts]
+    for i, found in zip(owner.tolist(), zip(cuts, log_p, included)):
+        out[i].append(found)
+    return out
+
+
 def test_samples_follow_the_distribution_without_replacement():
     sampler = segmentations.Sampler(default_path(PIECES), 2, 0.4)
     n = 12000
-    made = sampler.sample(["then"] * n, np.arange(n).astype(np.uint64) * np.uint64(7919))
+    made = samples(sampler, ["then"] * n, mix64(np.arange(n).astype(np.uint64)))
     p = {tuple(i.tolist()): np.exp(lp) for m in made for i, lp, _ in m}
     first, second = [collections.Counter(tuple(m[j][0].tolist()) for m in made) for j in (0, 1)]
     for a in p:
         assert abs(first[a] / n - p[a]) < 0.025
         assert abs(second[a] / n - sum(p[b] * p[a] / (1 - p[b]) for b in p if b != a)) < 0.025
     assert all(m[0][0].tolist() != m[1][0].tolist() for m in made)
-    every = segmentations.Sampler(default_path(PIECES), 50, 1.0).sample(["the"], np.array([5], np.uint64))[0]
+    every = samples(segmentations.Sampler(default_path(PIECES), 50, 1.0), ["the"], np.array([5], np.uint64))[0]
     assert len({tuple(i.tolist()) for i, _, _ in every}) == len(every) < 50
     assert abs(sum(np.exp(lp) for _, lp, _ in every) - 1) < 1e-6 and {q for _, _, q in every} == {0.0}
 
