@@ -64,7 +64,7 @@ def main() -> None:
     stats = S.decode_stats(outcomes)
     clock("decode_summary", lambda: discard(S.decode_summary(counts, stats)))
     clock("collect_umis", lambda: discard(U.collect_umis(tally)))
-    clock("synthon_counts", lambda: discard(C.synthon_counts(counts, 3)))
+    clock("synthon_counts", lambda: discard(C.synthon_counts(counts)))
     clock("enrichment", lambda: discard(E.enrichment(counts, blocks)))
     clock("enrichment_rank", lambda: discard(E.rank_enrichment(E.enrichment(counts, blocks))))
     clock("enrichment_contrast", lambda: discard(E.contrast(counts, "tgt", "ctrl")))

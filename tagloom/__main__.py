@@ -48,14 +48,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if args.command == "convert-libraries":
         verdicts, totals = convert_folder(spark, args.input_dir, args.output_dir, load_config(args.config))
-        verdicts.orderBy("file").show(1000, truncate=False)
+        # One row per vendor file.
+        for row in verdicts.orderBy("file").toLocalIterator():
+            print(*row, sep="\t")
         return 1 if totals.first().failed else 0
     requested = None
     if args.requested:
         requested = spark.read.csv(args.requested, header=True)
     jobs, summary, status = report_jobs(spark, args.log, args.usage, requested, args.output)
     status.show()
-    summary.orderBy("process").show(1000, truncate=False)
+    for row in summary.orderBy("process").toLocalIterator():
+        print(*row, sep="\t")
     return 0 if jobs.limit(1).count() else 1
 
 

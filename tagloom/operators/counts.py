@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.ids import bb_array
 from tagloom.operators.umi import absorbed_counts, count_roots
 from tagloom.schemas import COMPOUND, COUNTS
 
@@ -65,35 +62,27 @@ def deduplicate(counts: DataFrame, drop_exact: bool = False) -> DataFrame:
     return counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
 
 
-def synthon_counts(counts: DataFrame, n_cycles: int, max_size: int | None = None) -> DataFrame:
+def synthon_counts(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     """Counts of every n-synthon: each non-empty subset of cycles, compounds summed over the rest.
 
-    `cycles` names the subset ("1,3") and `synthon` its building blocks in that order. Each row is
-    expanded to its subsets and combined map-side.
+    `cycles` names the subset ("1,3") and `synthon` its building blocks in that order. Subsets follow each compound's own
+    number of cycles; `max_size` leaves out larger ones. Each row is expanded to its subsets and combined map-side.
     """
     measures = [c for c in MEASURES if c in counts.columns]
-    compounds = deduplicate(counts).withColumn("bb", bb_array("bb_ids"))
-    subsets = [
-        s
-        for k in range(1, (max_size or n_cycles) + 1)
-        for s in combinations(range(1, n_cycles + 1), k)
-    ]
-    expanded = compounds.filter(F.size("bb") == n_cycles).select(
-        "selection_id",
-        "library_id",
-        *measures,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(",".join(map(str, s))).alias("cycles"),
-                        F.concat_ws(",", *[F.col("bb")[c - 1].cast("string") for c in s]).alias("synthon"),
-                    )
-                    for s in subsets
-                ]
-            )
-        ).alias("s"),
+    compounds = deduplicate(counts).withColumn("bb", F.split("bb_ids", ","))
+    # Subset number m holds cycle i + 1 if bit i of m is set.
+    numbers = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("bb")) - 1)
+    if max_size is not None:
+        numbers = F.filter(numbers, lambda m: F.bit_count(m) <= max_size)
+    picked = F.transform(numbers, lambda m: F.filter(F.sequence(F.lit(1), F.size("bb")), lambda i: F.getbit(m, i - 1) == 1))
+    subsets = F.transform(
+        picked,
+        lambda s: F.struct(
+            F.array_join(s.cast("array<string>"), ",").alias("cycles"),
+            F.array_join(F.transform(s, lambda i: F.element_at("bb", i)), ",").alias("synthon"),
+        ),
     )
+    expanded = compounds.filter(F.length("bb_ids") > 0).select("selection_id", "library_id", *measures, F.explode(subsets).alias("s"))
     return expanded.groupBy("selection_id", "library_id", "s.cycles", "s.synthon").agg(
         F.count(F.lit(1)).alias("n_compounds"), *[F.sum(c).alias(c) for c in measures]
     )

@@ -358,7 +358,15 @@ def prepare_tables(
             "library-lookup",
         )
     distance = max(layout.distance for layout in layouts)
-    wanted = restrict_libraries(building_blocks, [lib for _, lib in ids])
+    # Each section has its own distance; the layout only knows the largest one of a library.
+    own = library_sections.filter(F.col("kind") == "bb").select(
+        F.col("library_id").alias("__lib"),
+        F.regexp_extract("section", r"(\d+)$", 1).cast("int").alias("__cycle"),
+        F.coalesce(F.regexp_extract("error_correction", r":\s*(\d+)", 1).try_cast("int"), F.lit(0)).alias("allowed"),
+    )
+    wanted = restrict_libraries(building_blocks, [lib for _, lib in ids]).join(
+        F.broadcast(own), (F.col("library_id") == F.col("__lib")) & (F.col("cycle") == F.col("__cycle"))
+    )
     bb = on_strands(building_block_variants(wanted, distance), _strands(settings))
     bb = materialize(bb.withColumn("key", F.concat("strand", "library_id")), "bb-lookup")
     return DecodeTables(

@@ -64,14 +64,19 @@ def library_diversity(building_blocks: DataFrame, cycles: list[int] | None = Non
     )
 
 
-def with_library_total(counts: DataFrame) -> DataFrame:
-    """Add `total`, the counts of the (selection, library).
+def join_total(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add `total`, the counts of the row's (selection, library) in `counts`; a null selection is one like any other.
 
     Totals are a row per (selection, library), joined back by broadcast: a window would gather a
     whole library in one task.
     """
-    totals = counts.groupBy(*LIBRARY).agg(F.sum("count").alias("total"))
-    return counts.join(sized_broadcast(totals), LIBRARY)
+    totals = counts.groupBy(*[F.col(c).alias(f"__{c}") for c in LIBRARY]).agg(F.sum("count").alias("total"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LIBRARY]
+    return rows.join(sized_broadcast(totals), same).drop(*[f"__{c}" for c in LIBRARY])
+
+
+def with_library_total(counts: DataFrame) -> DataFrame:
+    return join_total(counts, counts)
 
 
 def _scores(z: float) -> dict[str, Column]:
@@ -111,9 +116,8 @@ def synthon_enrichment(
     diversity = parts[0]
     for part in parts[1:]:
         diversity = diversity.unionByName(part)
-    totals = counts.groupBy(*LIBRARY).agg(F.sum("count").alias("total"))
     return (
-        synthons.join(sized_broadcast(totals), LIBRARY)
+        join_total(synthons, counts)
         .join(sized_broadcast(diversity), ["library_id", "cycles"], "left")
         .withColumns(_scores(z))
     )
@@ -154,7 +158,7 @@ def rank_enrichment(scores: DataFrame, by: str = "z_n") -> DataFrame:
         (F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1).alias("rank"),
         F.sum("__n").over(w).alias("__all"),
     )
-    same = [F.col(f"__{c}") == F.col(c) for c in LIBRARY] + [F.col("__by").eqNullSafe(F.col(by))]
+    same = [F.col(f"__{c}").eqNullSafe(F.col(c)) for c in LIBRARY] + [F.col("__by").eqNullSafe(F.col(by))]
     if is_small(per_score):
         joined = scores.join(F.broadcast(ranks), same)
     else:

@@ -130,7 +130,7 @@ def first_by(df: DataFrame, *order) -> DataFrame:
 
 
 def attach_usage(jobs: DataFrame, usage: DataFrame) -> DataFrame:
-    """Add accounting fields; jobs without a record keep nulls."""
+    """Add accounting fields, one record per job; jobs without a record keep nulls."""
     return jobs.join(usage, "job_id", "left")
 
 

@@ -51,31 +51,47 @@ def count_summary(counts: DataFrame) -> DataFrame:
     )
 
 
-def outcome_columns(stats: DataFrame, n_cycles: int) -> DataFrame:
-    """Statistics with one column per outcome; the outcomes are known, so nothing is scanned for them."""
+def known_outcomes(stats: DataFrame, n_cycles: int | None) -> list[str]:
+    """Outcomes of this many cycles; with None, also those of any further cycle and any other that `stats` holds.
+
+    Statistics are a few rows per (selection, library): pass stored ones with None.
+    """
+    if n_cycles is not None:
+        return outcome_names(n_cycles)
+    names = outcome_names(3)
+    found = sorted(r.outcome for r in stats.select("outcome").distinct().collect())
+    return names + [o for o in found if o not in names]
+
+
+def outcome_columns(stats: DataFrame, n_cycles: int | None) -> DataFrame:
+    """Statistics with one column per outcome. A given `n_cycles` says which, so nothing is scanned for them."""
+    return _outcome_columns(stats, known_outcomes(stats, n_cycles))
+
+
+def _outcome_columns(stats: DataFrame, outcomes: list[str]) -> DataFrame:
     return (
         stats.groupBy("selection_id", "library_id")
-        .pivot("outcome", outcome_names(n_cycles))
+        .pivot("outcome", outcomes)
         .agg(F.sum("n"))
         .na.fill(0)
     )
 
 
-def join_summary(stats: DataFrame, summary: DataFrame, n_cycles: int = 3) -> DataFrame:
+def join_summary(stats: DataFrame, summary: DataFrame, outcomes: list[str]) -> DataFrame:
     """Statistics and count totals side by side; either side may lack a library.
 
     Both are a row per (selection, library). Reads without a library have no counts to meet, so the
     null key needs no match.
     """
-    wide = outcome_columns(stats, n_cycles)
+    wide = _outcome_columns(stats, outcomes)
     return wide.join(summary, ["selection_id", "library_id"], "full_outer")
 
 
-def decode_summary(counts: DataFrame, stats: DataFrame, n_cycles: int = 3) -> DataFrame:
+def decode_summary(counts: DataFrame, stats: DataFrame, n_cycles: int | None = 3) -> DataFrame:
     """Per library and in total: compounds, counts, reads by outcome, reads per distinct UMI."""
-    outcomes = outcome_names(n_cycles)
+    outcomes = known_outcomes(stats, n_cycles)
     numbers = ["compounds", "raw_count", "dedup_count", "count", *outcomes]
-    joined = join_summary(stats, count_summary(counts), n_cycles)
+    joined = join_summary(stats, count_summary(counts), outcomes)
     rolled = (
         with_total_level(joined)
         .groupBy("selection_id", "level", "library_id")
@@ -104,7 +120,7 @@ def count_histogram(counts: DataFrame) -> DataFrame:
     )
 
 
-def report_tables(stats: DataFrame, counts: DataFrame, n_cycles: int = 3) -> dict[str, DataFrame]:
+def report_tables(stats: DataFrame, counts: DataFrame, n_cycles: int | None = 3) -> dict[str, DataFrame]:
     """The tables behind a decode report."""
     return {
         "outcomes": outcome_columns(stats, n_cycles),

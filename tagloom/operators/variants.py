@@ -123,11 +123,16 @@ def library_variants(libraries: DataFrame, tolerance: int = 2, min_overlap: int
 
 
 def building_block_variants(building_blocks: DataFrame, distance: int = 1) -> DataFrame:
-    """(library_id, cycle, obs) -> id, ambiguous over (library_id, cycle, id, tag)."""
+    """(library_id, cycle, obs) -> id, ambiguous over (library_id, cycle, id, tag).
+
+    A column `allowed` holds the distance of a row's own library and cycle; `distance` is the largest of them.
+    """
+    allowed = F.col("allowed") if "allowed" in building_blocks.columns else F.lit(distance)
     tags = building_blocks.filter(F.col("tag").isNotNull() & (F.length("tag") > 0)).select(
-        "library_id", "cycle", "id", "tag"
+        "library_id", "cycle", "id", "tag", allowed.alias("allowed")
     )
     near = edit_variants(tags, distance).withColumn("distance", F.levenshtein("tag", "obs"))
+    near = near.filter(F.col("distance") <= F.col("allowed"))
     best = near.groupBy("library_id", "cycle", "obs").agg(
         F.min(F.struct("distance", "id")).alias("low"),
         F.max(F.struct((-F.col("distance")).alias("neg"), "id")).alias("high"),

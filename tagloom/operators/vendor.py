@@ -96,6 +96,8 @@ def to_building_blocks(vendor_rows: DataFrame) -> DataFrame:
         cycle.alias("cycle"),
         bb_set_name("library_id", cycle - 1).alias("bb_set_name"),
         F.col("hits_index").try_cast("double").cast("int").alias("id"),
+        # As the file has it: an index that is no number is kept as text.
+        F.coalesce(F.col("hits_index").try_cast("double").cast("int").cast("string"), "hits_index").alias("id_text"),
         "tag",
         "line_no",
     )

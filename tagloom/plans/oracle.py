@@ -324,7 +324,7 @@ ORACLE_SQL = {
     "length_histogram": f"WITH {NOISY} SELECT selection_id, length(seq)::INT AS length, count(*)::BIGINT AS n FROM noisy GROUP BY ALL",
     "selection_files": """SELECT coalesce(CASE WHEN c_custkey % 7 <> 0 THEN 's' || c_custkey END, 'unknown') AS selection_id,
         lane::INT AS lane, 'lane' || (lane + 1) || '_' || c_custkey || '.fastq.gz' AS path FROM customer, range(0, 3) r(lane)
-        WHERE c_custkey % 5 <> 0 AND NOT (lane = 1 AND c_custkey % 3 = 0) AND NOT (lane = 2 AND c_custkey % 4 = 0)""",
+        WHERE NOT (lane = 1 AND c_custkey % 3 = 0) AND NOT (lane = 2 AND c_custkey % 4 = 0)""",
     "output_prefixes": """SELECT c_name AS additional_info, CASE WHEN c_custkey % 5 = 0 THEN 'p' || c_custkey
         WHEN c_custkey % 7 <> 0 THEN 's' || c_custkey ELSE 'unknown' END AS file_prefix FROM customer""",
     "library_layout": f"""WITH libs AS (SELECT 'L' || s_suppkey AS library_id, substr({dna("s_suppkey*7+3", 14)}, 1, s_suppkey % 4 + 10) AS library_tag
@@ -353,12 +353,30 @@ ORACLE_SQL = {
     "dedup_counts": f"""WITH {COUNTS} SELECT selection_id, library_id, bb_ids, count, raw_count, dedup_count FROM counts
         UNION ALL SELECT selection_id || '+', library_id, bb_ids, count * f, raw_count * f, dedup_count * f
         FROM (SELECT *, CASE WHEN count % 2 = 0 THEN 2 ELSE 1 END AS f FROM counts)""",
+    "mixed_cycles": f"""WITH {COUNTS},
+        own AS (SELECT selection_id, library_id, CASE library_id WHEN 'L00' THEN b1 || ',' || b2 WHEN 'L01' THEN bb_ids ELSE bb_ids || ',' || b1 END AS bb_ids,
+          sum(count)::BIGINT AS count, sum(raw_count)::BIGINT AS raw_count, sum(dedup_count)::BIGINT AS dedup_count FROM counts GROUP BY ALL),
+        masks AS (SELECT *, string_split(bb_ids, ',') AS bb, unnest(range(1, CASE library_id WHEN 'L00' THEN 4 WHEN 'L01' THEN 8 ELSE 16 END)) AS mask FROM own)
+        SELECT selection_id, library_id, concat_ws(',', CASE WHEN mask & 1 > 0 THEN '1' END, CASE WHEN mask & 2 > 0 THEN '2' END,
+          CASE WHEN mask & 4 > 0 THEN '3' END, CASE WHEN mask & 8 > 0 THEN '4' END) AS cycles,
+          concat_ws(',', CASE WHEN mask & 1 > 0 THEN bb[1] END, CASE WHEN mask & 2 > 0 THEN bb[2] END, CASE WHEN mask & 4 > 0 THEN bb[3] END,
+          CASE WHEN mask & 8 > 0 THEN bb[4] END) AS synthon, count(*)::BIGINT AS n_compounds, sum(count)::BIGINT AS count,
+          sum(raw_count)::BIGINT AS raw_count, sum(dedup_count)::BIGINT AS dedup_count FROM masks GROUP BY ALL""",
+    "run_counts": f"""WITH {SCORES},
+        own AS (SELECT library_id, bb_ids, sum(count)::BIGINT AS count FROM counts GROUP BY ALL),
+        own_total AS (SELECT library_id, sum(count)::BIGINT AS total FROM own GROUP BY ALL)
+        SELECT NULL::VARCHAR AS selection_id, library_id, bb_ids, count, o.total, round((count / o.total) * diversity, 6) AS fold,
+          round((count / o.total - 1.0 / diversity) / sqrt((1.0 / diversity) * (1 - 1.0 / diversity)), 6) AS z_n,
+          (rank() OVER (PARTITION BY library_id ORDER BY count DESC))::BIGINT AS rank
+        FROM own JOIN own_total o USING (library_id) JOIN div USING (library_id)""",
+    "unlisted_selections": f"""WITH {DECODED} SELECT selection_id, count(*) FILTER (selection_id = 'tgt' AND outcome = 'ok')::BIGINT AS ok,
+        count(*) FILTER (selection_id <> 'tgt')::BIGINT AS unknown_selection, count(*)::BIGINT AS reads FROM decoded GROUP BY ALL""",
     "synthon_counts": f"WITH {COUNTS}, {SYNTHONS} SELECT * FROM synthons",
     "enrichment": f"""WITH {SCORES} SELECT selection_id, library_id, bb_ids, count, total, diversity, round(fold, 6) AS fold, round(z_n, 6) AS z_n,
         round((pt - 1.96 * sqrt(pt * (1 - pt) / nt) - p0) / sqrt(p0 * (1 - p0)), 6) AS z_low,
         round((pt + 1.96 * sqrt(pt * (1 - pt) / nt) - p0) / sqrt(p0 * (1 - p0)), 6) AS z_high FROM scores""",
     "synthon_enrichment": f"""WITH {SCORES}, {SYNTHONS},
-        sdiv AS (SELECT cycles, library_id, product(n) AS diversity FROM (SELECT DISTINCT cycles FROM synthons WHERE length(cycles) < 5) c
+        sdiv AS (SELECT cycles, library_id, product(n) AS diversity FROM (SELECT DISTINCT cycles FROM synthons) c
           JOIN per_cycle p ON list_contains(string_split(c.cycles, ','), p.cycle::VARCHAR) GROUP BY ALL)
         SELECT s.selection_id, s.library_id, s.cycles, s.synthon, s.count, v.diversity, round((s.count / total) * v.diversity, 6) AS fold,
           round((s.count / total - 1.0 / v.diversity) / sqrt((1.0 / v.diversity) * (1 - 1.0 / v.diversity)), 6) AS z_n

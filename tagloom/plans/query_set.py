@@ -17,11 +17,12 @@ from tagloom.operators import umi as U
 from tagloom.operators import vendor as V
 from tagloom.operators.decode import DecodeSettings, decode, prepare_tables
 from tagloom.plans import query_inputs as Q
+from tagloom.plans.selection_run import UNLISTED, decode_selections, run
 from tagloom.schemas import SELECTIONS
 from tagloom.session import materialize, new_path
 from tagloom.sources import sinks, tables
 from tagloom.sources.fastq import read_fastq, read_fastq_pairs, with_ordinal
-from tagloom.sources.selections import selection_files, validate_settings
+from tagloom.sources.selections import selection_files, selections_df, validate_settings
 from tagloom.streaming.incremental import incremental_counts, run_incremental
 
 BOTH = DecodeSettings.of(revcomp="BOTH")
@@ -167,8 +168,7 @@ def selections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def selection_files_query(spark, sf_dir):
-    checked = validate_settings(selections(spark, sf_dir)).filter(F.col("decode_settings.wiggle") == "YES")
-    return selection_files(checked)
+    return selection_files(validate_settings(selections(spark, sf_dir)))
 
 
 def output_prefixes(spark, sf_dir):
@@ -240,7 +240,32 @@ def dedup_counts(spark, sf_dir):
 
 
 def synthon_counts(spark, sf_dir):
-    return C.synthon_counts(Q.derived_counts(spark, sf_dir), 3)
+    return C.synthon_counts(Q.derived_counts(spark, sf_dir))
+
+
+def mixed_cycles(spark, sf_dir):
+    """Synthons of libraries of two, three and four cycles in one table."""
+    bb = F.split("bb_ids", ",")
+    own = F.when(F.col("library_id") == "L00", F.array_join(F.slice(bb, 1, 2), ",")).when(F.col("library_id") == "L01", F.col("bb_ids"))
+    return C.synthon_counts(Q.derived_counts(spark, sf_dir).withColumn("bb_ids", F.coalesce(own, F.concat_ws(",", "bb_ids", bb[0]))))
+
+
+def run_counts(spark, sf_dir):
+    """A run from count files that name no selection."""
+    path = new_path(spark, "counts")
+    Q.derived_counts(spark, sf_dir).select("library_id", "bb_ids", "count").write.parquet(path)
+    result = run(counts=tables.read_counts(spark, [path]), building_blocks=d.derived_building_blocks(spark, sf_dir))
+    ranked = E.rank_enrichment(result.enrichment)
+    return ranked.select(*COMPOUND, "count", "total", *[c.alias(n) for n, c in r6("fold", "z_n").items()], "rank")
+
+
+def unlisted_selections(spark, sf_dir):
+    """Outcomes of a run that lists one of two selections, with all libraries."""
+    listed = selections_df(spark, [{"selection_id": "tgt", "decode_settings": {"revcomp": "BOTH"}}])
+    found = decode_selections(Q.staged_reads(spark, sf_dir), listed, *library_tables(spark, sf_dir))
+    stats = materialize(S.decode_stats(found), "stats")
+    reads = S.decode_summary(stored_tally(spark, sf_dir).limit(0).selectExpr("*", "c AS count", "c AS raw_count", "c AS dedup_count"), stats, None)
+    return reads.filter("level = 'total'").select("selection_id", "ok", UNLISTED, "reads")
 
 
 def enrichment(spark, sf_dir):
@@ -253,7 +278,7 @@ def enrichment(spark, sf_dir):
 def synthon_enrichment(spark, sf_dir):
     counts = Q.derived_counts(spark, sf_dir)
     scores = E.synthon_enrichment(
-        C.synthon_counts(counts, 3, max_size=2), counts, d.derived_building_blocks(spark, sf_dir)
+        C.synthon_counts(counts), counts, d.derived_building_blocks(spark, sf_dir)
     )
     return scores.select(
         "selection_id", "library_id", "cycles", "synthon", "count", "diversity",
@@ -353,7 +378,7 @@ def vendor_sets(spark, sf_dir):
 def job_records(spark, sf_dir) -> DataFrame:
     jobs = J.job_records(tables.read_run_log(spark, Q.log_folder(spark, sf_dir)))
     return jobs.select(
-        "run_id", "job_id", "process", "status", "exit_code",
+        ids.file_name("run_id").alias("run_id"), "job_id", "process", "status", "exit_code",
         F.unix_millis("started").alias("started_ms"), F.unix_millis("exited").alias("exited_ms"), "duration_min",
     )
 
@@ -464,6 +489,9 @@ QUERIES = {
     "union_counts": union_counts,
     "dedup_counts": dedup_counts,
     "synthon_counts": synthon_counts,
+    "mixed_cycles": mixed_cycles,
+    "run_counts": run_counts,
+    "unlisted_selections": unlisted_selections,
     "enrichment": enrichment,
     "synthon_enrichment": synthon_enrichment,
     "enrichment_contrast": enrichment_contrast,

@@ -18,6 +18,8 @@ from tagloom.sources import sinks
 from tagloom.sources.fastq import read_fastq, read_fastq_pairs
 
 MAX_SELECTIONS = 100_000
+# Outcome of reads whose selection is not in the selections table.
+UNLISTED = "unknown_selection"
 
 
 @dataclass
@@ -43,9 +45,10 @@ def prepare_reads(
 def decode_selections(
     reads: DataFrame, selections: DataFrame, library_sections: DataFrame, building_blocks: DataFrame
 ) -> DataFrame:
-    """Decode every selection against its own libraries with its own settings.
+    """Decode every selection against its own libraries, or all if it names none, with its own settings.
 
-    Selections that share both are decoded together; the metadata is small and read by the driver.
+    Selections that share both are decoded together; the metadata is small and read by the driver. Reads of
+    selections that aren't listed come back with the outcome UNLISTED, so no read is lost.
     """
     rows = selections.select("selection_id", "libraries", "decode_settings").limit(MAX_SELECTIONS + 1)
     groups: dict = {}
@@ -56,17 +59,20 @@ def decode_selections(
         raise ValueError(f"more than {MAX_SELECTIONS} selections")
     parts = []
     for (settings, libraries), ids in groups.items():
-        tables = prepare_tables(
-            restrict_libraries(library_sections, libraries),
-            restrict_libraries(building_blocks, libraries),
-            settings,
-        )
+        own_libraries = lambda df: restrict_libraries(df, libraries) if libraries else df
+        tables = prepare_tables(own_libraries(library_sections), own_libraries(building_blocks), settings)
         own = reads.filter(F.col("selection_id").isin(ids))
         parts.append(decode(own, settings=settings, tables=tables))
+    if not parts:
+        raise ValueError("no selections")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    known = F.broadcast(selections.select(F.col("selection_id").alias("__known")))
+    unlisted = reads.join(known, F.col("selection_id") == F.col("__known"), "left_anti")
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in out.schema.fields if f.name not in reads.columns}
+    missing["outcome"] = F.lit(UNLISTED)
+    return out.unionByName(unlisted.withColumns(missing).select(*out.columns))
 
 
 def run(
@@ -75,17 +81,16 @@ def run(
     counts: DataFrame | None = None,
     library_sections: DataFrame | None = None,
     building_blocks: DataFrame | None = None,
-    n_cycles: int = 3,
     z: float = 1.96,
 ) -> RunResult:
-    """Exactly one of `reads` (decode, count, enrich) or `counts` (enrich only)."""
+    """Exactly one of `reads` (decode, count, enrich) or `counts` (enrich only). Libraries may differ in cycles."""
     if (reads is None) == (counts is None):
         raise ValueError("give either reads or counts, not both and not neither")
     if building_blocks is None:
         raise ValueError("building blocks are needed")
     if counts is not None:
-        final = deduplicate(counts)
-        return RunResult(enrichment(final, building_blocks, z), final, synthon_counts(final, n_cycles))
+        final = materialize(deduplicate(counts), "counts")
+        return RunResult(enrichment(final, building_blocks, z), final, synthon_counts(final))
 
     decoded = decode_selections(reads, selections, library_sections, building_blocks)
     # One pass over the reads: tally and statistics both come from this table.
@@ -96,11 +101,11 @@ def run(
     return RunResult(
         enrichment(final, building_blocks, z),
         final,
-        synthon_counts(final, n_cycles),
+        synthon_counts(final),
         tally,
         stats,
-        decode_summary(final, stats, n_cycles),
-        report_tables(stats, final, n_cycles),
+        decode_summary(final, stats, None),
+        report_tables(stats, final, None),
     )
 
 

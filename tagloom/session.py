@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import tempfile
 import uuid
 
@@ -14,6 +15,8 @@ BROADCAST_ROWS = 2_000_000
 # Replication of a lookup side that is too large to broadcast; spreads hot keys.
 LOOKUP_SALTS = 32
 _lookup_number = itertools.count()
+# Work folders of local sessions that name none, by application.
+_own_folders: dict[str, str] = {}
 
 
 def local_session(cpus: str = "8", partitions: str | None = None, **conf: str) -> SparkSession:
@@ -44,11 +47,31 @@ def work_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tagloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # The setting is fixed once a session runs, so the folder is remembered here.
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="tagloom-")
+        base = _own_folders[app]
     return f"{base.rstrip('/')}/tagloom-{spark.sparkContext.applicationId}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Call when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    Enough where workers see the driver's disk; elsewhere the package is installed or shipped as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 

@@ -67,18 +67,19 @@ def selection_files(selections: DataFrame) -> DataFrame:
     )
 
 
-def _one_of(value: Column, name: str, allowed: tuple[str, ...]) -> Column:
-    bad = F.concat(F.lit(f"{name} must be one of {', '.join(allowed)}, not "), F.coalesce(value, F.lit("null")))
-    return F.when(value.isin(*allowed), value).otherwise(F.raise_error(bad).cast("string"))
+def _must(ok: Column, value: Column, what: str) -> Column:
+    bad = F.concat(F.lit(f"{what}, not "), F.coalesce(value.cast("string"), F.lit("null")))
+    return F.coalesce(ok, F.lit(False)) | F.raise_error(bad).cast("boolean")
 
 
 def validate_settings(selections: DataFrame) -> DataFrame:
-    """Fail the job on a decode setting outside its allowed values."""
+    """Fail the job on a decode setting outside its allowed values.
+
+    The checks are a filter: the planner drops columns that nothing reads, but no filter.
+    """
     s = F.col("decode_settings")
-    checked = [
-        _one_of(s[name], name, DecodeSettings.allowed[name]).alias(name)
-        if name in DecodeSettings.allowed
-        else s[name].alias(name)
-        for name in schemas.DECODE_SETTINGS.names
-    ]
-    return selections.withColumn("decode_settings", F.struct(*checked))
+    for name, values in DecodeSettings.allowed.items():
+        selections = selections.filter(_must(s[name].isin(*values), s[name], f"{name} must be one of {', '.join(values)}"))
+    for name, least in (("library_error_tolerance", 0), ("min_library_overlap", 1)):
+        selections = selections.filter(_must(s[name] >= least, s[name], f"{name} must be at least {least}"))
+    return selections

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.ids import output_prefix
@@ -99,6 +99,13 @@ def write_stats_json(
     return write_named_lines(named, folder, "file", "value", ["value"])
 
 
+def csv_cell(value: Column) -> Column:
+    """A CSV cell: null is empty; commas, quotes and line ends are put in quotes."""
+    text = F.coalesce(value, F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike('[,"\r\n]'), quoted).otherwise(text)
+
+
 def write_library_defs(
     sections: DataFrame, sets: DataFrame, building_blocks: DataFrame, folder: str
 ) -> tuple[int, int]:
@@ -137,10 +144,11 @@ def write_library_defs(
     )
     n_libraries = write_named_lines(texts, folder, "file", "value", ["value"])
     place = F.concat(F.lit("building_blocks/"), "bb_set_name", F.lit(".csv"))
+    id_text = F.col("id_text" if "id_text" in building_blocks.columns else "id").cast("string")
     rows = building_blocks.select(
         place.alias("file"),
         F.col("line_no").alias("at") if "line_no" in building_blocks.columns else F.col("id").alias("at"),
-        F.concat(F.col("id").cast("string"), F.lit(","), F.coalesce("tag", F.lit(""))).alias("value"),
+        F.concat(csv_cell(id_text), F.lit(","), csv_cell(F.col("tag"))).alias("value"),
     )
     heads = rows.select("file").distinct().select("file", F.lit(-1).alias("at"), F.lit("id,tag").alias("value"))
     n_sets = write_named_lines(heads.unionByName(rows), folder, "file", "value", ["at"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom import schemas
@@ -16,6 +16,7 @@ from tagloom.functions.text import (
     USAGE_WALL,
     extract,
 )
+from tagloom.session import new_path
 
 # Texts a tab-separated vendor cell is read as missing for.
 MISSING_CELLS = [
@@ -25,6 +26,11 @@ MISSING_CELLS = [
 VENDOR_TAG_COLUMN = 4
 
 
+def stored_path() -> Column:
+    """Path of the row's file with its real characters; the metadata column holds it as a URI."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_counts(spark: SparkSession, paths: str | list[str], selection_id: str | None = None) -> DataFrame:
     """Compound counts; columns a file does not hold come back as null.
 
@@ -51,7 +57,7 @@ def read_vendor_tsv(spark: SparkSession, path: str) -> DataFrame:
     into numbered lines. Other columns are found by name.
     """
     files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.split("value", "\r?\n").alias("lines")
+        stored_path().alias("path"), F.split("value", "\r?\n").alias("lines")
     )
     heads = files.select(
         file_name("path").alias("file"),
@@ -90,7 +96,6 @@ def read_vendor_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 
-
 def read_libraries(spark: SparkSession, path: str) -> DataFrame:
     """Library definitions, one JSON file per library, as sections with offsets.
 
@@ -102,7 +107,7 @@ def read_libraries(spark: SparkSession, path: str) -> DataFrame:
     sections = (
         spark.read.text(path, wholetext=True)
         .select(
-            file_stem(F.col("_metadata.file_path")).alias("library_id"),
+            file_stem(stored_path()).alias("library_id"),
             F.from_json("value", body).alias("b"),
         )
         .select("library_id", F.explode("b.barcode_schema").alias("section", "s"))
@@ -139,7 +144,7 @@ def read_library_sets(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.text(path, wholetext=True)
         .select(
-            file_stem(F.col("_metadata.file_path")).alias("library_id"),
+            file_stem(stored_path()).alias("library_id"),
             F.from_json("value", body).alias("b"),
         )
         .select("library_id", F.explode("b.bb_sets").alias("s"), "b.dna_barcode_on")
@@ -149,7 +154,7 @@ def read_library_sets(spark: SparkSession, path: str) -> DataFrame:
 
 def read_building_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Building-block tables named <library>_BB<letter>.csv with columns id, tag."""
-    stem = file_stem(F.col("_metadata.file_path"))
+    stem = file_stem(stored_path())
     return (
         spark.read.schema("id int, tag string")
         .csv(path, header=True)
@@ -164,27 +169,54 @@ def read_building_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Log lines with their order: (start of the file split, row within it), so files stay splittable."""
-    return spark.read.text(paths).select(
-        file_name(F.col("_metadata.file_path")).alias("run_id"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("line"),
-        F.col("value").alias("text"),
-    )
+    """Log lines with their order: (start of the file split, row within it), so files stay splittable.
+
+    `run_id` is the whole path: logs of one name in two folders are two runs. Spark passes over names that start with
+    a dot or an underscore, so such logs are first copied to the work folder under another name.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    plain = [p for p in paths if p.rstrip("/").rsplit("/", 1)[-1][:1] not in (".", "_")]
+    parts = [(plain, None)] * bool(plain) + [([copied(spark, p)], p) for p in paths if p not in plain]
+    out = None
+    for files, run_id in parts:
+        lines = spark.read.text(files).select(
+            (stored_path() if run_id is None else F.lit(run_id)).alias("run_id"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias("line"),
+            F.col("value").alias("text"),
+        )
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+def copied(spark: SparkSession, path: str) -> str:
+    """A copy of one file in the work folder, made by the file systems themselves."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new_path(spark, "log"))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    return target.toString()
 
 
 def read_usage_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Captured accounting output, one block per job starting with its 'Job ID: ' line."""
+    """Captured accounting output, one block per job starting with its 'Job ID: ' line. Of a job's blocks the last counts."""
     block = F.concat(F.lit("\n"), F.regexp_replace("value", r"^\s*Job ID: ", ""))
-    blocks = spark.read.option("lineSep", "\nJob ID: ").text(path).select(block.alias("block"))
-    return blocks.select(
+    blocks = spark.read.option("lineSep", "\nJob ID: ").text(path).select(
+        block.alias("block"), F.struct(stored_path(), F.monotonically_increasing_id()).alias("line")
+    )
+    fields = {
+        "wall_clock": USAGE_WALL,
+        "cpu_eff": USAGE_CPU_EFF,
+        "mem_used": USAGE_MEM_USED,
+        "mem_eff": USAGE_MEM_EFF,
+        "mem_requested": USAGE_MEM_REQUESTED,
+        "alloc_cpus": USAGE_CPUS,
+    }
+    found = blocks.select(
         extract("block", r"^\s*(\d+)").alias("job_id"),
-        extract("block", USAGE_WALL).alias("wall_clock"),
-        extract("block", USAGE_CPU_EFF).alias("cpu_eff"),
-        extract("block", USAGE_MEM_USED).alias("mem_used"),
-        extract("block", USAGE_MEM_EFF).alias("mem_eff"),
-        extract("block", USAGE_MEM_REQUESTED).alias("mem_requested"),
-        extract("block", USAGE_CPUS).alias("alloc_cpus"),
-    ).filter(F.col("job_id").isNotNull())
+        "line",
+        F.struct(*[extract("block", pattern).alias(name) for name, pattern in fields.items()]).alias("fields"),
+    )
+    last = found.filter(F.col("job_id").isNotNull()).groupBy("job_id").agg(F.max_by("fields", "line").alias("fields"))
+    return last.select("job_id", "fields.*")

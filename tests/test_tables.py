@@ -67,7 +67,7 @@ def test_counts_union_dedup_synthons(spark):
     assert C.union_counts(a, b).count() == 3
     assert rows(C.deduplicate(C.union_counts(a, a))) == [("s", "L", "1,2", 4, 10, 6), ("s", "L", "1,3", 2, 2, 2)]
     assert rows(C.deduplicate(C.union_counts(a, a), drop_exact=True)) == rows(a)
-    got = rows(C.synthon_counts(a, 2), "cycles", "synthon", "n_compounds", "count")
+    got = rows(C.synthon_counts(a), "cycles", "synthon", "n_compounds", "count")
     assert got == [("1", "1", 2, 3), ("1,2", "1,2", 1, 2), ("1,2", "1,3", 1, 1), ("2", "2", 1, 2), ("2", "3", 1, 1)]
 
 
