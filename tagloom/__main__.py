@@ -8,9 +8,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from tagloom.operators.counts import deduplicate
-from tagloom.operators.enrich import enrichment
+from tagloom.operators.enrich import enrichment, observed_blocks
 from tagloom.plans.jobs_report import report_jobs
 from tagloom.plans.libraries import convert_folder, load_config
+from tagloom.session import clear_work
 from tagloom.sources.sinks import write_table
 from tagloom.sources.tables import read_building_blocks, read_counts
 
@@ -22,7 +23,7 @@ def _arguments(argv):
         p = commands.add_parser(name)
         p.add_argument("--input", required=True)
         p.add_argument("--output", required=True)
-        p.add_argument("--data-dir", required=name == "enrich", help="folder with building_blocks/")
+        p.add_argument("--data-dir", help="folder with building_blocks/; without it, enrich takes the blocks that are counted")
         p.add_argument("--selection-id", default="selection")
     p = commands.add_parser("convert-libraries")
     p.add_argument("--input-dir", required=True)
@@ -42,9 +43,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command in ("deduplicate", "enrich"):
         counts = deduplicate(read_counts(spark, args.input, args.selection_id))
         if args.command == "enrich":
-            blocks = read_building_blocks(spark, f"{args.data_dir}/building_blocks")
+            blocks = read_building_blocks(spark, f"{args.data_dir}/building_blocks") if args.data_dir else observed_blocks(counts)
             counts = enrichment(counts, blocks)
         write_table(counts, args.output)
+        clear_work(spark)
         return 0
     if args.command == "convert-libraries":
         verdicts, totals = convert_folder(spark, args.input_dir, args.output_dir, load_config(args.config))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.counts import count_compounds, deduplicate, synthon_counts
 from tagloom.operators.decode import DecodeSettings, decode, prepare_tables, restrict_libraries
-from tagloom.operators.enrich import enrichment
-from tagloom.operators.preprocess import merge_pairs
+from tagloom.operators.enrich import enrichment, observed_blocks
+from tagloom.operators.preprocess import filter_reads, merge_pairs
 from tagloom.operators.stats import decode_stats, decode_summary, merge_stats, report_tables
 from tagloom.operators.umi import collect_umis, tally_outcomes
 from tagloom.session import materialize
@@ -33,13 +33,34 @@ class RunResult:
     report: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def same_template(pairs: DataFrame) -> DataFrame:
+    """Fail the job on a pair whose ids differ before the first blank or slash."""
+    bare = lambda c: F.regexp_replace(c, r"[ /].*$", "")
+    what = F.concat(F.lit("mates are not in the same order: "), "read_id", F.lit(" and "), "read_id_r2")
+    return pairs.filter((bare("read_id") == bare("read_id_r2")) | F.raise_error(what).cast("boolean"))
+
+
 def prepare_reads(
-    spark: SparkSession, read_1, read_2=None, selection_id: str = "selection", **fastq_options
+    spark: SparkSession,
+    read_1,
+    read_2=None,
+    selection_id: str = "selection",
+    quality: dict | None = None,
+    spread: int | None = None,
+    unpaired: str = "error",
+    **fastq_options,
 ) -> DataFrame:
-    """Single-end reads as they are, or merged pairs of two lists of lanes."""
+    """Single-end reads, or merged pairs of two lists of lanes.
+
+    `quality` holds the rules of `filter_reads` (an empty dict: its defaults), None keeps all reads. `spread` deals pairs
+    out to so many tasks after the scan: a gzip lane is one task, and merging and decoding would stay in it.
+    """
     if not read_2:
-        return read_fastq(spark, read_1, 1, selection_id, **fastq_options)
-    return merge_pairs(read_fastq_pairs(spark, read_1, read_2, selection_id, **fastq_options))
+        reads = read_fastq(spark, read_1, 1, selection_id, **fastq_options)
+    else:
+        pairs = same_template(read_fastq_pairs(spark, read_1, read_2, selection_id, unpaired=unpaired, **fastq_options))
+        reads = merge_pairs(pairs.repartition(spread) if spread else pairs)
+    return reads if quality is None else filter_reads(reads, **quality)
 
 
 def decode_selections(
@@ -86,10 +107,12 @@ def run(
     """Exactly one of `reads` (decode, count, enrich) or `counts` (enrich only). Libraries may differ in cycles."""
     if (reads is None) == (counts is None):
         raise ValueError("give either reads or counts, not both and not neither")
-    if building_blocks is None:
+    if building_blocks is None and counts is None:
         raise ValueError("building blocks are needed")
     if counts is not None:
         final = materialize(deduplicate(counts), "counts")
+        # Without definitions a library is what its counts show of it.
+        building_blocks = observed_blocks(final) if building_blocks is None else building_blocks
         return RunResult(enrichment(final, building_blocks, z), final, synthon_counts(final))
 
     decoded = decode_selections(reads, selections, library_sections, building_blocks)

@@ -15,7 +15,7 @@ from tagloom.operators import stats as S
 from tagloom.operators import vendor as V
 from tagloom.operators.decode import DecodeSettings, decode
 from tagloom.operators.layout import build_library_sections
-from tagloom.plans.selection_run import run
+from tagloom.plans.selection_run import prepare_reads, run
 from tagloom.session import materialize
 from tagloom.sources import sinks, tables
 from tagloom.sources.selections import selection_files, selections_df, validate_settings
@@ -119,6 +119,26 @@ def test_vendor_names_and_indices(spark, tmp_path):
     assert sorted(files) == ["L 1_BBA.csv", "L 1_BBB.csv", "L 1_BBC.csv"] and files["L 1_BBA.csv"] == 'id,tag\n"X,7",AAAA\n'
 
 
+def test_prepared_pairs(spark, tmp_path):
+    text = lambda n, q="I", tail="": "".join(f"@r{i}{tail}\n{'ACGT' * 10}\n+\n{q * 40}\n" for i in range(n))
+    for name, content in (("a", text(3, tail="/1")), ("b", text(3, tail="/2")), ("short", text(2)), ("poor", text(3, "#")), ("other", text(3).replace("@r1", "@x1"))):
+        (tmp_path / f"{name}.fastq").write_text(content)
+    path = lambda name: [str(tmp_path / f"{name}.fastq")]
+    assert prepare_reads(spark, path("a"), path("b"), "s", quality={}, spread=3).count() == 3
+    with pytest.raises(ValueError, match="no partner"):
+        prepare_reads(spark, path("a"), path("short"), "s")
+    assert prepare_reads(spark, path("a"), path("short"), "s", unpaired="drop").count() == 2
+    with pytest.raises(Exception, match="not in the same order"):
+        prepare_reads(spark, path("a"), path("other"), "s").collect()
+    assert prepare_reads(spark, path("poor"), None, "s", quality={}).count() == 0
+    assert prepare_reads(spark, path("poor"), None, "s").count() == 3
+
+
+def test_counts_alone_are_enough_for_enrichment(spark):
+    counts = spark.createDataFrame([("s", "L", "1,1", 4), ("s", "L", "2,2", 6)], "selection_id string, library_id string, bb_ids string, count bigint")
+    assert rows(run(counts=counts).enrichment, "bb_ids", "diversity", "total") == [("1,1", 4.0, 10), ("2,2", 4.0, 10)]
+
+
 BARE = """
 import os
 from pyspark.sql import SparkSession
