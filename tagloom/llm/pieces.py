@@ -14,6 +14,7 @@ UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NO_PAIR = np.iinfo(np.int32).max
 # Units longer than this are merged one by one from a heap: many rounds over one unit cost more.
 HEAP_LENGTH = 2048
+_PAIR_TABLES = frozenset(["keys", "merged", "ranks", "lookup", "leftmost", "_shift", "_slots", "_probes"])
 
 
 def default_path(name: str) -> str:
@@ -50,7 +51,13 @@ class PieceTable:
         ok &= all(c in self.ids for p in self.ids for c in p)
         if not ok:
             raise ValueError(f"{path}: units of this vocabulary can't be merged apart from each other")
+
+    def __getattr__(self, name: str):
+        """The tables of pairs are made when first asked for: decoding and lattices need none."""
+        if name not in _PAIR_TABLES:
+            raise AttributeError(name)
         self._pairs()
+        return self.__dict__[name]
 
     def _pairs(self) -> None:
         order = {s: r for r, s in enumerate(sorted({self.scores[i] for i in self.ids.values()}, reverse=True))}

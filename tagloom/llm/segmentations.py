@@ -26,7 +26,7 @@ from tagloom.llm.texts import HashIndex, as_text, mix64
 
 SHIFT = 10.0
 # Bytes of text whose units share one lattice; bounds memory, not texts.
-PART_TEXT = 1 << 20
+PART_TEXT = 1 << 19
 _WORD = (1 << 64) - 1
 # Log weight of a piece per character, about; keeps masses of units in the range of floats.
 _PER_CHARACTER = 2.5
@@ -134,7 +134,7 @@ class Lattice:
         # A node per character and one for the end of each unit.
         self.first_node = np.cumsum(sizes + 1) - (sizes + 1)
         self.last_node = self.first_node + sizes
-        of_char = np.arange(len(codes)) + unit
+        of_char = (np.arange(len(codes)) + unit).astype(np.int32)
         self.start = np.repeat(of_char, count)
         self.end = self.start + step
         per_node = np.zeros(len(codes) + len(units), np.int64)
@@ -143,8 +143,8 @@ class Lattice:
         # Probability mass from each node to the end of its unit, in units of a mean piece per character, nearest to the end first.
         left = (end - np.arange(len(codes))).astype(np.int64)
         order = np.argsort(left.astype(np.int16) if left.max() < 1 << 15 else left, kind="stable")
-        by_left = np.repeat(order, count[order])
-        by_left = np.arange(total) - np.repeat(np.cumsum(count[order]) - count[order], count[order]) + self.edges[of_char[by_left]]
+        shift = self.edges[of_char[order]] - (np.cumsum(count[order]) - count[order])
+        by_left = (np.arange(total) + np.repeat(shift, count[order])).astype(np.int32)
         cuts = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
         edge_cuts = np.r_[0, np.cumsum(count[order])][cuts]
         with np.errstate(over="ignore", under="ignore", divide="ignore", invalid="ignore"):
