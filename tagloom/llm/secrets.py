@@ -15,8 +15,16 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 # Runs that are dropped when too short may as well be asked for at their least length: a run is never cut.
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
-# Candidates of the randomness tests.
-TOKEN = "[A-Za-z0-9+/_=-]{20,}"
+# Candidates of the randomness tests: the longest runs that one encoding can hold, so that in a token with + or / as well as
+# _ or - each such part is tested. `=` parts names from values; at the end of a run it is padding and counts as part of it.
+LEAST_TOKEN = 20
+_PADDING = "(?:={1,6}(?![A-Za-z0-9+/_=-]))?+"
+_PLAIN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9]{14,}+(?![+/_-])"
+_URL = "(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{14})[A-Za-z0-9]*+[_-][A-Za-z0-9_-]*+"
+_BASE64 = "(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{14})[A-Za-z0-9]*+[+/][A-Za-z0-9+/]*+"
+# Parts of the two alphabets can overlap, so they are looked for one after the other.
+TOKEN = f"(?:{_PLAIN}|{_URL}){_PADDING}"
+TOKEN_64 = f"{_BASE64}{_PADDING}"
 KINDS = ["assign", "access", "hex", "random"]
 # (name, characters a token must consist of, alphabet). The first that fits is taken; letters and digits must both occur.
 ENCODINGS = [
@@ -115,19 +123,22 @@ def turned_away(scored: DataFrame, level: float = FALSE_DISCOVERY) -> DataFrame:
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", level: float = FALSE_DISCOVERY) -> DataFrame:
     """Spans of secrets: k (key), c (hash of the text), kind, start, end, in code points, end exclusive.
 
-    Kinds `assign`, `access` and `hex` are the fixed patterns; `random` are tokens of 20 or more characters that
-    the randomness tests don't turn away and that overlap no span of a fixed pattern.
+    Kinds `assign`, `access` and `hex` are the fixed patterns; `random` are tokens of 20 or more characters, padding
+    included, that the randomness tests don't turn away and that overlap no span of a fixed pattern. Of name=value both are
+    tokens of their own. A token that no single encoding can hold is tested in its longest parts that one can; these may overlap.
     """
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).withColumn("c", F.xxhash64("t"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN}
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN, "random_64": TOKEN_64}
     found = None
     for kind, pattern in patterns.items():
         own = _matches(rows, kind, pattern)
         found = own if found is None else found.unionByName(own)
     places = materialize(_located(found), "matches")
     assigned = F.length(F.regexp_extract("match", ASSIGN, 2)) >= 12
-    base = places.filter((F.col("kind") != "random") & ((F.col("kind") != "assign") | assigned)).select("k", "c", "kind", "start", "end")
-    scored = randomness(places.filter("kind = 'random'")).filter("encoding IS NOT NULL")
+    fixed = ~F.col("kind").isin("random", "random_64")
+    base = places.filter(fixed & ((F.col("kind") != "assign") | assigned)).select("k", "c", "kind", "start", "end")
+    tokens = places.filter(~fixed & (F.length("match") >= LEAST_TOKEN)).withColumn("kind", F.lit("random"))
+    scored = randomness(tokens).filter("encoding IS NOT NULL")
     scored = scored.withColumns(
         {"bin": F.floor(-F.log2("p") * BINS_PER_HALVING).cast("int"), "class": F.floor(F.log2("length")).cast("int")}
     )

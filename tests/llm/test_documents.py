@@ -160,6 +160,30 @@ def test_random_tokens(spark):
     assert scored[0].p < 1e-6 and scored[0].encoding == "hex" and abs(scored[1].z_serial) > 1
 
 
+def test_random_values_beside_names_and_in_mixed_tokens(spark):
+    rng = random.Random(6)
+    plain = string.ascii_letters + string.digits
+    forms = [
+        ("AWS_SECRET_ACCESS_KEY={} end", plain + "+/"), ("client_id={}", plain), ("see https://h.example/p?a=1&sig={}&b=2", plain), ("x=={}", plain), ("a=b={}=c", plain),
+        ("k={}==", plain + "+/"), ("/srv/my-app_2/{}", plain + "_-"), ("my-app_2-{}", plain + "+/"),
+    ]
+    rows = []
+    for i in range(320):
+        form, letters = forms[i % len(forms)]
+        inner = "".join(rng.choice(letters) for _ in range(38))
+        rows.append((i, form.format("q7" + inner), "q7" + inner))
+    rows += [(1000, "LONG_NAME_WITHOUT_A_DIGIT=word", ""), (1001, "a=1&b=2&c=3&d=4&e=5&f=6&g=7", "")]
+    frame = cases.frame(spark, [r[:2] for r in rows])
+    got = {r.doc_id: r for r in secrets.scan_secrets(frame).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact_secrets(frame).collect()}
+    for f in range(len(forms)):
+        of = [r for r in rows[:320] if r[0] % len(forms) == f]
+        assert sum(got[i].n_random > 0 for i, _, _ in of) >= len(of) - 3, forms[f]
+        assert sum(value not in masked[i] and value[-20:] not in masked[i] for i, _, value in of) >= len(of) - 3, forms[f]
+    assert masked[1].startswith("client_id=[SECRET]") and masked[4].endswith("=c")
+    assert got[1000].n_random == got[1001].n_random == 0
+
+
 def test_quality(spark, docs, rows, empty):
     got = fertility.quality_rules(docs).collect()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
