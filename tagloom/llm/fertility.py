@@ -9,7 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.pieces import MARK, default_path, piece_table, units_of
@@ -27,8 +27,19 @@ METRICS = {  # metric: (grid step, least half width)
     "byte_share": (0.001, 0.05),
     "token_entropy": (0.01, 0.75),
 }
-# Documents with a length class of a language to make a band; with fewer, that class rejects nothing.
+# Texts that make a band. A class with fewer takes the neighbouring length classes in, then all texts of the script, then,
+# where no script is known, all texts; fixed limits hold where these are too few as well.
 BAND_DOCUMENTS = 30
+# Length classes on either side that a band may take in, for metrics that change with the length of a text.
+LENGTH_REACH = {"token_entropy": 2}
+# Fixed limits: metric: (low, high) for scripts whose letters the vocabularies hold, and for all others.
+SPELT_SCRIPTS = ("latin", "greek", "cyrillic")
+LIMITS = {
+    "chars_per_token": ((1.2, 8.0), (0.25, 8.0)),
+    "chars_per_byte_token": ((0.7, 10.0), (0.2, 10.0)),
+    "byte_share": ((0.0, 0.25), (0.0, 1.0)),
+    "token_entropy": ((3.0, 15.0), (3.0, 15.0)),
+}
 SCRIPTS = {  # code point ranges, fixed values of the Unicode block list
     "latin": (0x0041, 0x024F),
     "greek": (0x0370, 0x03FF),
@@ -222,26 +233,49 @@ def length_class() -> Column:
 
 
 def fertility_bands(stats: DataFrame) -> DataFrame:
-    """Lowest and highest accepted value per language or script, length class and metric.
+    """Lowest and highest accepted value of each metric for each band_key, script and length_class in `stats`; none is null.
 
-    `stats` has `band_key`, `length_class` and the metrics. Values are first counted on the grid, with partial sums,
-    so a language with most of the rows shuffles no more than its grid cells.
+    `stats` has these columns, the metrics and `base_failed`; bands are made of the texts that pass. Each metric takes the
+    first band of BAND_DOCUMENTS texts: the language's, the script's (all texts' for texts without letters of a known
+    script), each over as few neighbouring length classes as reach that number; then LIMITS. Values are first counted on the
+    grid, with partial sums, so a language with most of the rows shuffles no more than its grid cells.
     """
+    place = ["band_key", "script", "length_class"]
     cells = [F.struct(F.lit(m).alias("metric"), F.round(F.col(m) / step).cast("long").alias("cell")) for m, (step, _) in METRICS.items()]
-    counted = (
-        stats.select("band_key", "length_class", F.inline(F.array(*cells))).groupBy("band_key", "length_class", "metric", "cell").agg(F.count(F.lit(1)).alias("n"))
-    )
-    quartiles = counted.groupBy("band_key", "length_class", "metric").agg(
-        F.expr("percentile(cell, array(0.25, 0.5, 0.75), n)").alias("q"), F.sum("n").alias("n")
-    )
+    passing = stats.filter(~F.col("base_failed")).select(*place, F.inline(F.array(*cells)))
+    counted = materialize(passing.groupBy(*place, "metric", "cell").agg(F.count(F.lit(1)).alias("n")), "cells")
+    targets = materialize(stats.select(*place).distinct(), "band-targets")
+    keys = {"own": F.col("band_key"), "script": F.col("script"), "all": F.lit("")}
+    group = F.inline(F.array(*[F.struct(F.lit(level).alias("level"), k.alias("of")) for level, k in keys.items()]))
+    pooled = counted.select(group, F.col("length_class").alias("near"), "metric", "cell", "n").groupBy("level", "of", "near", "metric", "cell").agg(F.sum("n").alias("n"))
+    # All these are at most one row per language or script and pair of length classes.
+    sizes = pooled.filter(F.col("metric") == next(iter(METRICS))).groupBy("level", "of", "near").agg(F.sum("n").alias("n"))
+    wanted = targets.select(group, "length_class", "script").filter("level != 'all' OR script = 'none'").drop("script").distinct()
+    away = F.abs(F.col("near") - F.col("length_class"))
+    steps = wanted.join(sizes, ["level", "of"]).groupBy("level", "of", "length_class", away.alias("away")).agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("level", "of", "length_class").orderBy("away"))
+    reach = steps.withColumn("upto", upto).filter(F.col("upto") >= BAND_DOCUMENTS).groupBy("level", "of", "length_class").agg(F.min("away").alias("reach"))
+    most = F.create_map(*[F.lit(x) for m in METRICS for x in (m, LENGTH_REACH.get(m, 64))])[F.col("metric")]
+    taken = pooled.join(sized_broadcast(reach), ["level", "of"]).filter((away <= F.col("reach")) & (F.col("reach") <= most))
+    quartiles = taken.groupBy("level", "of", "length_class", "metric").agg(F.expr("percentile(cell, array(0.25, 0.5, 0.75), n)").alias("q"))
     step = F.create_map(*[F.lit(x) for m, (s, _) in METRICS.items() for x in (m, s)])[F.col("metric")]
     slack = F.create_map(*[F.lit(x) for m, (_, w) in METRICS.items() for x in (m, w)])[F.col("metric")]
     half = F.greatest(F.lit(REACH) * (F.col("q")[2] - F.col("q")[0]) * step, slack)
-    banded = quartiles.filter(F.col("n") >= BAND_DOCUMENTS).select(
-        "band_key", "length_class", "metric", (F.col("q")[1] * step - half).alias("low"), (F.col("q")[1] * step + half).alias("high")
-    )
-    made = [F.first(F.when(F.col("metric") == m, F.col(side)), ignorenulls=True).alias(f"{m}_{side}") for m in METRICS for side in ("low", "high")]
-    return banded.groupBy("band_key", "length_class").agg(*made)
+    banded = quartiles.select("level", "of", "length_class", "metric", (F.col("q")[1] * step - half).alias("low"), (F.col("q")[1] * step + half).alias("high"))
+    sides = [(m, side) for m in METRICS for side in ("low", "high")]
+    made = [F.first(F.when(F.col("metric") == m, F.col(side)), ignorenulls=True).alias(f"{m}_{side}") for m, side in sides]
+    bands = materialize(banded.groupBy("level", "of", "length_class").agg(*made), "bands")
+    out = targets
+    for level, of in keys.items():
+        own = bands.filter(F.col("level") == level).select(F.col("of").alias("of__"), F.col("length_class").alias("class__"), *[F.col(f"{m}_{s}").alias(f"{level}_{m}_{s}") for m, s in sides])
+        fits = (of == F.col("of__")) & (F.col("length_class") == F.col("class__"))
+        out = out.join(own, fits & (F.col("script") == "none") if level == "all" else fits, "left").drop("of__", "class__")
+
+    def limit(m: str, side: int) -> Column:
+        return F.when(F.col("script").isin(*SPELT_SCRIPTS), LIMITS[m][0][side]).otherwise(LIMITS[m][1][side])
+
+    chosen = [F.coalesce(*[F.col(f"{level}_{m}_{s}") for level in keys], limit(m, int(s == "high"))).alias(f"{m}_{s}") for m, s in sides]
+    return out.select(*place, *chosen)
 
 
 def quality_rules(
@@ -257,6 +291,7 @@ def quality_rules(
     Metrics: characters per token of a piece and of a byte-level vocabulary, share of byte-fallback tokens (white
     space aside), entropy of the tokens in bits. Each is held against a band of its language, or of its script where
     the language is null or `language` is None, and of its length class; bands come from all texts that pass the base rules.
+    Where these are too few for a band, a wider one holds (see `fertility_bands`), so no text goes without.
 
     `base_failed`: fewer than 50 words, or more than half of the words in repeated three-word windows. `kept` is false
     then, else whether all metrics lie in their bands (`outside` lists those that don't). Null and empty texts count
@@ -275,8 +310,8 @@ def quality_rules(
         ),
         "fertility",
     )
-    bands = sized_broadcast(fertility_bands(stats.filter(~F.col("base_failed"))))
-    joined = stats.join(bands, ["band_key", "length_class"], "left")
+    bands = sized_broadcast(fertility_bands(stats))
+    joined = stats.join(bands, ["band_key", "script", "length_class"], "left")
     outside = F.filter(
         F.array(*[F.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), F.lit(m)) for m in METRICS]), lambda m: m.isNotNull()
     )

@@ -201,6 +201,23 @@ def test_bands_turn_away_odd_texts_alone(spark):
     assert all(got[i].kept for i in range(120)) and not got[900].kept
 
 
+def test_small_classes_are_held_against_wider_bands(spark):
+    rng = random.Random(8)
+    letters = [a + b for a in "bcdfgklmnprst" for b in "aeiou"]
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 4)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    odd = lambda n: " ".join("💩🜁🜂"[i % 3] * 3 + rng.choice(letters) for i in range(n))
+    crowd = [(i, text(300), "xx") for i in range(60)]
+    alone = [(100, text(170), "xx"), (101, text(3000), "xx"), (102, text(300), "yy"), (103, text(300), None)]
+    bad = [(200, odd(80), "xx"), (201, odd(3000), "xx"), (202, odd(300), "yy"), (203, odd(300), None), (204, " ".join(f"{i * 7919 % 1000}💩" for i in range(300)), None)]
+    kept = lambda rows: {r.doc_id: r.kept for r in fertility.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    got = kept(crowd + alone + bad)
+    assert all(got[k] for k, *_ in crowd + alone) and not any(got[k] for k, *_ in bad)
+    # Too few texts for any band: fixed limits.
+    got = kept(alone + bad[:4])
+    assert all(got[k] for k, *_ in alone) and not any(got[k] for k, *_ in bad[:4])
+
+
 def test_tokens(docs, rows, empty):
     library = piece_table(default_path(PIECES)).library
     got = token_counts.count_tokens(docs, limit=100).collect()
