@@ -16,7 +16,7 @@ from tagloom.llm.texts import as_text
 # Fixed values of the HTML standard: element classes.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object embed canvas audio video svg math datalist noembed noframes rp".split())
+HIDDEN = frozenset("head script style template noscript iframe object embed canvas audio video svg annotation annotation-xml datalist noembed noframes rp".split())
 # Blocks with a blank line around them, and those that only start on a line of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure form fieldset hr article section".split())
 BLOCK = SPACED | frozenset(
@@ -43,10 +43,13 @@ TABLE_SCOPE = frozenset(["table", "html"])
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|[^<]+|<""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.I)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
-_SIMPLE = re.compile(r"^(?:[a-z][a-z0-9]*|[.#][\w-]+)$", re.I)
+_COMPOUND = re.compile(r"(?:[a-z][\w-]*)?(?:[.#][\w-]+)*", re.I)
+_CSS_STEP = re.compile(r"""[^{};"']+|"(?:\\.|[^"\\])*(?:"|\Z)|'(?:\\.|[^'\\])*(?:'|\Z)|[{};]""", re.S)
+_FEATURE = re.compile(r"\(\s*(min-|max-)(width|height)\s*:\s*([\d.]+)(px|em|rem)\s*\)")
+# The screen that pages are laid out for, in CSS pixels.
+SCREEN = {"width": 1280, "height": 800}
 
 
 class Node:
@@ -65,10 +68,125 @@ class Node:
         return self.attributes
 
 
-def build_tree(source: str) -> tuple[Node, set[str]]:
-    """The tree of a page, and the simple selectors that its style sheets hide."""
+def for_screen(media: str) -> bool | None:
+    """Whether a media query list holds on SCREEN; None where that depends on what isn't known here."""
+    found = []
+    for query in media.lower().split(","):
+        query = query.strip()
+        negated = query.startswith("not ")
+        parts = [x.strip() for x in re.split(r"\sand\s|\band\b(?=\s*\()", re.sub(r"^(?:not|only)\s+", "", query))]
+        truth: bool | None = True
+        for part in parts:
+            if m := _FEATURE.fullmatch(part):
+                try:
+                    size = float(m[3]) * (1 if m[4] == "px" else 16)
+                    own = SCREEN[m[2]] >= size if m[1] == "min-" else SCREEN[m[2]] <= size
+                except ValueError:
+                    own = None
+            else:
+                own = True if part in ("", "all", "screen") else None if "(" in part else False
+            truth = False if own is False or truth is False else None if own is None else truth
+        found.append(truth if truth is None else truth != negated)
+    return True if True in found else None if None in found else False
+
+
+class Styles:
+    """Which elements the style sheets of a page hide: of the display declarations that fit one, the strongest and last counts.
+
+    Selectors are tags, classes, ids and compounds of these. Of others, as of rules whose condition isn't known, only those
+    that show an element count, by the last compound, so that nothing visible is dropped; states such as :hover don't count.
+    """
+
+    def __init__(self):
+        self.rules: dict[str, list[tuple]] = {}
+        self.count = 0
+
+    def add(self, css: str, media: str = "") -> None:
+        css = re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)
+        held: list[bool | None] = [for_screen(media)]
+        prelude: list[str] = []
+        rule: str | None = None
+        skipped = 0
+        for m in _CSS_STEP.finditer(css):
+            piece = m[0]
+            if skipped:
+                skipped += (piece == "{") - (piece == "}")
+                if not skipped:
+                    prelude = []
+            elif piece == "{":
+                head = "".join(prelude).strip()
+                prelude = []
+                if rule is not None:
+                    # A rule inside a rule: what comes before it in the last declaration's place is its selector.
+                    skipped = 1
+                elif head.startswith("@"):
+                    name, _, rest = head[1:].partition(" ") if "(" not in head.split(" ")[0] else (*head[1:].partition("("),)
+                    name = name.lower()
+                    if name in ("media", "supports", "layer", "container", "scope"):
+                        own = for_screen(rest if head[1 + len(name)] != "(" else "(" + rest) if name == "media" else True if name == "layer" else None
+                        held.append(False if False in (own, held[-1]) else None if None in (own, held[-1]) else True)
+                    else:
+                        skipped = 1
+                else:
+                    rule = head
+            elif piece == "}":
+                if rule is not None:
+                    self.rule(rule, "".join(prelude), held[-1])
+                    rule = None
+                elif len(held) > 1:
+                    held.pop()
+                prelude = []
+            elif piece == ";" and rule is None:
+                prelude = []
+            else:
+                prelude.append(piece)
+        if rule is not None and not skipped:
+            self.rule(rule, "".join(prelude), held[-1])
+
+    def rule(self, selectors: str, body: str, held: bool | None) -> None:
+        shown = display_of(body)
+        if shown is None or held is False:
+            return
+        hides, important = shown
+        for selector in selectors.split(","):
+            plain = re.sub(r"\[[^\]]*\]", "", selector).strip()
+            last = re.split(r"[\s>+~]+", plain)[-1]
+            if not last or ":" in selector or not _COMPOUND.fullmatch(last) or (hides and (held is None or last != selector.strip())):
+                continue
+            parts = re.findall(r"[.#]?[\w-]+", last)
+            parts = [x if x[0] in ".#" else x.lower() for x in parts]
+            ids, classes = sum(x.count("#") for x in re.findall(r"#[\w-]+", selector)), len(re.findall(r"\.[\w-]+|\[", selector))
+            tags = len(re.findall(r"(?:^|[\s>+~])[a-zA-Z]", selector.strip()))
+            self.count += 1
+            self.rules.setdefault(parts[-1], []).append((frozenset(parts), (important, ids, classes, tags, self.count), hides))
+
+    def of(self, node: Node) -> tuple[bool, bool] | None:
+        """(hides, important) of the declaration that counts for a node."""
+        names = {node.tag}
+        if node.attributes:
+            given = node.get()
+            names.update("." + c for c in given.get("class", "").split())
+            names.add("#" + given.get("id", ""))
+        fit = [(rank, hides) for name in names for needed, rank, hides in self.rules.get(name, ()) if needed <= names]
+        if not fit:
+            return None
+        rank, hides = max(fit)
+        return hides, rank[0]
+
+
+def display_of(body: str) -> tuple[bool, bool] | None:
+    """(display is none, important) of the declaration that counts in a block, if there is one."""
+    found = [(bool(m[2]), i, m[1].lower() == "none") for i, m in enumerate(_DISPLAY.finditer(body))]
+    if not found:
+        return None
+    important, _, hides = max(found)
+    return hides, important
+
+
+def build_tree(source: str) -> tuple[Node, Styles]:
+    """The tree of a page, and what its style sheets hide on a screen."""
     root = Node("html")
-    stack, hidden = [root], set()
+    stack, styles = [root], Styles()
     opened: Counter = Counter()
     at, end, lenient = 0, len(source), False
 
@@ -143,9 +261,8 @@ def build_tree(source: str) -> tuple[Node, set[str]]:
             stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             inner = source[at : stop.start() if stop else end]
             if tag == "style":
-                for rule in _RULE.finditer(re.sub(r"/\*.*?\*/", "", inner, flags=re.S)):
-                    if _NO_DISPLAY.search(rule[2]):
-                        hidden.update(s for s in (x.strip() for x in rule[1].split(",")) if _SIMPLE.match(s))
+                if not opened["noscript"] and not opened["template"]:
+                    styles.add(inner, node.get().get("media", "") if attributes else "")
             elif tag in ("textarea", "title"):
                 node.children.append(html.unescape(inner))
             elif tag == "xmp":
@@ -155,25 +272,27 @@ def build_tree(source: str) -> tuple[Node, set[str]]:
         elif tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "math", "path")):
             stack.append(node)
             opened[tag] += 1
-    return root, hidden
+    return root, styles
 
 
-def is_hidden(node: Node, hidden: set[str], parent: Node | None) -> bool:
+def is_hidden(node: Node, styles: Styles, parent: Node | None) -> bool:
     """Not shown: elements without visible content, the hidden attribute, no display by style, closed details and dialogs."""
-    if node.tag in HIDDEN or node.tag in hidden:
+    if node.tag in HIDDEN:
         return True
     if parent is not None and parent.tag == "details" and node.tag != "summary" and "open" not in parent.get():
         return True
     if node.tag == "dialog" and "open" not in node.get():
         return True
+    sheet = styles.of(node) if styles.rules else None
     if not node.attributes:
-        return False
+        return sheet is not None and sheet[0]
     given = node.get()
-    if "hidden" in given or (node.tag == "input" and given.get("type", "").lower() == "hidden"):
-        return True
-    if _NO_DISPLAY.search(given.get("style", "")):
+    if node.tag == "input" and given.get("type", "").lower() == "hidden":
         return True
-    return bool(hidden) and ("#" + given.get("id", "") in hidden or any("." + c in hidden for c in given.get("class", "").split()))
+    inline = display_of(given["style"]) if "style" in given else None
+    if inline is not None and (sheet is None or inline[1] or not sheet[1]):
+        return inline[0]
+    return sheet[0] if sheet is not None else "hidden" in given
 
 
 class Page:
@@ -253,7 +372,7 @@ def align(rows: list[list[tuple[str, int]]]) -> list[str]:
 
 def render(source: str | None) -> dict:
     """All visible text of a page, and counts of blocks, list items and table rows that show text."""
-    root, hidden = build_tree(source or "")
+    root, styles = build_tree(source or "")
     page = Page()
     counts = {"n_items": 0, "n_rows": 0}
     lists: list[list] = []
@@ -292,7 +411,7 @@ def render(source: str | None) -> dict:
             elif tag in BLOCK:
                 page.block(tag in SPACED)
             continue
-        if is_hidden(node, hidden, parent):
+        if is_hidden(node, styles, parent):
             continue
         if node.attributes and (v := _VISIBILITY.search(node.get().get("style", ""))):
             shown = v[1].lower() == "visible"

@@ -76,6 +76,26 @@ def test_odd_markup(source, text):
     assert html_layout.render(source)["text"] == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<style>@media print {.nav, aside {display:none}} .ad{display:none}</style><p class=nav>a<aside>b</aside><p class=ad>no", "a\n\nb"),
+        ("<style>@media (max-width:600px){.a{display:none}} @media screen and (min-width:50em){.b{display:none}}</style><p class=a>a<p class=b>no", "a"),
+        ("<style media=print>p{display:none}</style><p>a", "a"), ("<style media='screen, print'>p{display:none}</style><p>no<div>a</div>", "a"),
+        ("<style>.t{display:none} .t{display:block}</style><p class=t>a", "a"), ("<style>.t{display:block} .t{display:none}</style><p class=t>no", ""),
+        ("<style>.t{display:none} .t.on{display:block}</style><p class=t>no<p class='on t'>a", "a"),
+        ("<style>#i{display:block} .t{display:none}</style><p class=t id=i>a<p class=t>no", "a"),
+        ("<style>.t{display:none!important}</style><p class=t style='display:block'>no", ""), ("<style>.t{display:none}</style><p class=t style='display:block'>a", "a"),
+        ("<style>@import 'x.css'; @keyframes k{from{display:none} p{display:none}} @media screen{@media print{p{display:none}} i{display:none}}</style><p>a<i>no</i>", "a"),
+        ("<style>@supports (x:y){p{display:none}} .t{display:none} .m .t{display:block} .t:hover{display:none}</style><p>a<b class=t>b</b>", "ab"),
+        ("<noscript><style>p{display:none}</style></noscript><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "a x=1"),
+        ("<style>@media(max-width:9px){p{display:none}} i{content:'}'; display:none}</style><p>a<i>no</i>", "a"), ("<style>p{display:none", ""), ("<style>p{display:none}@media print{", ""),
+    ],
+)
+def test_only_styles_of_the_screen_hide(source, text):
+    assert html_layout.render(source)["text"] == text
+
+
 def test_all_visible_words_stay(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     sources = {r.page_id: r.html for r in pages.collect()}
