@@ -421,13 +421,13 @@ def decode_ids(rows: DataFrame, ids: str = "ids", out: str = "decoded", path: st
 
 
 def encode_decode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2, heat: float = 1.0, path: str | None = None) -> DataFrame:
-    """Segmentations with their decoded text's check: key, sample, n_pieces, ids_hash, log_prob, log_inclusion, round_trip.
+    """Segmentations with their decoded text's check: key, sample, n_pieces, ids, ids_hash, log_prob, log_inclusion, round_trip.
 
     `round_trip` tells whether decoding gives back the text, whose marks, if any, come back as blanks.
     """
     value = F.replace(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(MARK), F.lit(" "))
     made = decode_ids(sample_segmentations(docs.select(key, value.alias("text")), key, "text", k, heat, path), path=path)
     return made.select(
-        key, "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
+        key, "sample", F.size("ids").cast("long").alias("n_pieces"), "ids", F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
         (F.xxhash64("decoded") == F.col("content")).alias("round_trip"),
     )

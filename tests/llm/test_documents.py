@@ -253,6 +253,12 @@ def test_segmentations(spark, docs, rows, empty):
     cases.same_rows([(r.doc_id, r.sample, r.ids) for r in got], [(r.doc_id, r.sample, r.ids) for r in again])
 
 
+def test_checked_segmentations_hold_their_ids(docs, rows):
+    got = segmentations.encode_decode(docs.filter("doc_id < 60")).collect()
+    library, texts = piece_table(default_path(PIECES)).library, dict(rows)
+    assert len(got) == 90 and all(library.decode(r.ids) == texts[r.doc_id] and len(r.ids) == r.n_pieces for r in got)
+
+
 def samples(sampler, texts, seeds):
     """Of each text: (ids, log probability, log inclusion) of its segmentations."""
     ids, lengths, log_p, included, owner = sampler.sample(texts, seeds)
