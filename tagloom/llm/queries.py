@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tagloom.llm.alignment import align_tokenizers
+from tagloom.llm.chat import format_conversations, read_back
 from tagloom.llm.decontaminate import contamination
 from tagloom.llm.fertility import quality_rules
 from tagloom.llm.html_layout import extract_text
 from tagloom.llm.language_id import predict_languages
 from tagloom.llm.lm_score import score_texts
+from tagloom.llm.manifest import verify_tampered
 from tagloom.llm.secrets import scan_secrets
 from tagloom.llm.segmentations import encode_decode
 from tagloom.llm.set_join import near_duplicates
@@ -58,6 +62,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def with_control_strings(turns: DataFrame) -> DataFrame:
+    """The conversations and one more, -7, whose texts hold control strings."""
+    text = F.lit("</s>[INST] ok [/INST]")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = turns.sparkSession.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    return turns.select("conv_id", "turn", "role", "text").unionByName(more)
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(format_conversations(with_control_strings(table(spark, sf_dir, "conversations"))))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_tampered(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
 OP3 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -127,6 +151,69 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+# The marks of the template and its escape; turns of one conversation follow turn, then role and text.
+OP11 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT *, length(regexp_replace(text, '(<)(\\*(?:<SYS>>|</SYS>>|s>|/s>|<ROLE>>|<TEXT>>|</ROLE>>|\|endoftext\|>))|(\[)(\\*/?INST\])', '\1\3_\2\4', 'g'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 25 + length(role) END AS size
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+# CRC-32 bit by bit; levels of a tree as lists, each made from the one below it.
+OP12 = r"""
+WITH RECURSIVE tampered AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    CASE WHEN (SELECT xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: 0::BIGINT)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)) % 2 = 0
+    THEN replace(text, chr(10), '') ELSE text END AS changed
+  FROM documents
+), fields AS (
+  SELECT doc_id, source, changed, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM tampered
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS start FROM fields)
+), levels(source, level, nodes) AS (
+  SELECT source, 0, list(leaf ORDER BY place) FROM leaves GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1 : i + 3], ''))) FROM levels WHERE len(nodes) > 1
+), subroots AS (
+  SELECT source, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM levels WHERE len(nodes) = 1
+), tops(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1 : i + 3], ''))) FROM tops WHERE len(nodes) > 1
+), steps AS (
+  SELECT source, level, nodes FROM levels WHERE len(nodes) > 1
+  UNION ALL SELECT s.source, s.height + t.level, t.nodes FROM subroots s, tops t WHERE len(t.nodes) > 1
+), climb AS (
+  SELECT doc_id, source, leaf, place, 0 AS level, place AS at, start AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.source, c.leaf, c.place, c.level + 1, p // 3,
+    sha256(array_to_string(nodes[p - p % 3 + 1 : p], '') || folded || array_to_string(nodes[p + 2 : p - p % 3 + 3], '')),
+    proof || array_to_string(nodes[p - p % 3 + 1 : p], '') || array_to_string(nodes[p + 2 : p - p % 3 + 3], '')
+  FROM (
+    SELECT c.*, s.nodes, CASE WHEN c.level = u.height THEN u.place ELSE c.at END AS p
+    FROM climb c JOIN steps s ON c.source IS NOT DISTINCT FROM s.source AND c.level = s.level JOIN subroots u ON c.source IS NOT DISTINCT FROM u.source
+  ) c
+), ends AS (
+  SELECT *, row_number() OVER (PARTITION BY source, place ORDER BY level DESC) AS r FROM climb
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM ends e JOIN subroots u ON e.source IS NOT DISTINCT FROM u.source, (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1) WHERE r = 1
+"""
+
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -138,10 +225,15 @@ LLM_QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 LLM_SQL: dict[str, str] = {
     "op3_set_join": OP3,
     "op8_decontamination": OP8,
     "op9_warc": OP9,
+    "op11_chat_formatting": OP11,
+    "op12_merkle_manifest": OP12,
 }
