@@ -296,11 +296,36 @@ final AS (
 SELECT selection_id, read_id, strand, library_id, CASE WHEN outcome='ok' THEN bb_ids END AS bb_ids,
   CASE WHEN outcome='ok' THEN umi END AS umi, lib_mismatches, outcome FROM final"""
 
+# Every stretch of every read against every tag; tags end at the least (distance, end, library).
+SEARCH_INDELS = f"""
+WITH {TRUTH},
+moved AS (
+  SELECT selection_id, read_id, CASE WHEN rc=1 THEN {rc("m")} ELSE m END AS seq FROM (
+    SELECT *, substr('TACTACTACTACT', 1, l_partkey % 13) || CASE b3 % 3 WHEN 1 THEN substr(fwd, 1, 57) || substr(fwd, 59)
+      WHEN 2 THEN substr(fwd, 1, 58) || 'A' || substr(fwd, 59) ELSE fwd END AS m FROM truth)),
+strands AS (
+  SELECT DISTINCT seq, '+' AS strand, seq AS s FROM moved UNION ALL SELECT DISTINCT seq, '-', {rc("seq")} FROM moved),
+libs AS (SELECT DISTINCT 'L0' || (l_suppkey % 3) AS library_id, {tag("l_suppkey % 3 * 41 + 27")} AS tl FROM lineitem),
+stretches AS (
+  SELECT seq, strand, library_id, levenshtein(substr(s, p + 1, n), tl) AS lev, p, n
+  FROM strands, libs, range(0, 110) r(p), range(10, 15) l(n) WHERE p + n <= length(s)),
+near AS (
+  SELECT seq, strand, min({{'lev': lev, 'e': p + n, 'lib': library_id, 'r': 2 * abs(n - 12) + (n > 12)::INT, 'p': p}}) AS k,
+    list({{'lev': lev, 'lib': library_id}}) AS cand FROM stretches WHERE lev <= 2 GROUP BY ALL),
+chosen AS (
+  SELECT seq, arg_min({{'strand': strand, 'k': k, 'n': len(list_distinct([x.lib FOR x IN cand IF x.lev = k.lev]))}}, k.lev * 2 + (strand = '-')::INT) AS c
+  FROM near GROUP BY seq)
+SELECT selection_id, read_id, coalesce(c.strand, '+') AS strand, CASE WHEN c.n = 1 THEN c.k.lib WHEN c.n > 1 THEN '*' END AS library_id,
+  c.k.p::INT AS lib_pos, c.k.e::INT AS lib_end, (c.k.e - c.k.p - 12)::INT AS lib_surplus, c.k.lev::INT AS lib_mismatches
+FROM moved LEFT JOIN chosen USING (seq)
+"""
+
 
 ORACLE_SQL = {
     "decode_reads": f"WITH {DECODED} SELECT * FROM decoded",
     "decode_outcomes": f"WITH {TRUTH} SELECT selection_id, outcome, count(*)::BIGINT AS n FROM truth GROUP BY ALL",
     "decode_fallback": SEARCH,
+    "search_indels": SEARCH_INDELS,
     "fastq_roundtrip": f"WITH {TRUTH} SELECT read_id, seq, repeat('I', length(seq)) AS qual FROM truth",
     "fastq_lanes_gz": f"""WITH {TRUTH} SELECT (l_orderkey % 3)::INT AS lane, (row_number() OVER (PARTITION BY l_orderkey % 3
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1)::BIGINT AS ordinal, read_id, seq FROM truth""",

@@ -16,6 +16,7 @@ from tagloom.operators import stats as S
 from tagloom.operators import umi as U
 from tagloom.operators import vendor as V
 from tagloom.operators.decode import DecodeSettings, decode, prepare_tables
+from tagloom.operators.indel_search import search_indels as search_with_indels
 from tagloom.plans import query_inputs as Q
 from tagloom.plans.selection_run import UNLISTED, decode_selections, run
 from tagloom.schemas import SELECTIONS
@@ -66,6 +67,26 @@ def decode_fallback(spark, sf_dir):
     return decode(reads, *library_tables(spark, sf_dir), settings)
 
 
+def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads as in `shifted_reads`; a third lost a base of the library tag, a third has one more."""
+    truth = d.truth_reads(d.spread(d.table(spark, sf_dir, "lineitem")))
+    which = F.col("b3") % 3
+    cut = lambda a, base, b: F.concat(F.substring("fwd", 1, a), F.lit(base), F.substr("fwd", F.lit(b)))
+    moved = F.when(which == 1, cut(57, "", 59)).when(which == 2, cut(58, "A", 59)).otherwise(F.col("fwd"))
+    moved = F.concat(F.substr(F.lit("TACTACTACTACT"), F.lit(1), (F.col("l_partkey") % 13).cast("int")), moved)
+    seq = F.when(F.col("rc") == 1, F.translate(F.reverse(moved), "ACGT", "TGCA")).otherwise(moved)
+    return truth.select("selection_id", "read_id", seq.alias("seq"))
+
+
+def search_indels(spark, sf_dir):
+    sections, _ = library_tables(spark, sf_dir)
+    none = F.lit(None)
+    places = {"library_id": none.cast("string"), "lib_pos": none.cast("int"), "lib_mismatches": none.cast("int")}
+    reads = materialize(indel_reads(spark, sf_dir), "reads").withColumns({"strand": F.lit("+"), **places})
+    tags = sections.filter(F.col("kind") == "library").select("library_id", "tag")
+    return search_with_indels(reads, tags, ["+", "-"]).drop("seq")
+
+
 def fastq_roundtrip(spark, sf_dir):
     path = new_path(spark, "fastq")
     sinks.write_fastq(d.derived_reads(spark, sf_dir), path)
@@ -465,6 +486,7 @@ QUERIES = {
     "decode_reads": decoded,
     "decode_outcomes": decode_outcomes,
     "decode_fallback": decode_fallback,
+    "search_indels": search_indels,
     "fastq_roundtrip": fastq_roundtrip,
     "fastq_lanes_gz": fastq_lanes_gz,
     "pair_merge": pair_merge,
