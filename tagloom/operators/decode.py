@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.dna import extract_section, revcomp, strand_section
+from tagloom.operators.indel_search import search_indels
 from tagloom.operators.layout import Layout, read_layouts
 from tagloom.operators.search import search_library
 from tagloom.operators.variants import (
@@ -44,6 +45,8 @@ class DecodeSettings:
     demultiplexer_mode: str = "single"
     realign: str = "NO"
     wiggle: str = "YES"
+    # Reads that the library call leaves open are searched once more, for tags with insertions and deletions.
+    library_indels: str = "NO"
 
     allowed = {
         "revcomp": (*YES_NO, "BOTH"),
@@ -51,6 +54,7 @@ class DecodeSettings:
         "demultiplexer_mode": ("single", "library"),
         "realign": YES_NO,
         "wiggle": YES_NO,
+        "library_indels": YES_NO,
     }
 
     def __post_init__(self):
@@ -213,6 +217,12 @@ def _section_columns(layouts: dict[Layout, list[str]], settings: DecodeSettings)
     return {c: (f"__off{c}", f"__len{c}") for c in cycles}, ("__uoff", "__ulen")
 
 
+def after_called_end(bbs: dict, umi_offset) -> tuple[dict, str]:
+    """Sections behind the library tag follow the end it was found at: the tag may be longer or shorter than it should be."""
+    moved = lambda offset: f"({offset} + IF({offset} > 0, coalesce(lib_surplus, 0), 0))"
+    return {c: (moved(offset), n) for c, (offset, n) in bbs.items()}, moved(umi_offset)
+
+
 def call_building_blocks(
     reads: DataFrame,
     variants: DataFrame,
@@ -223,17 +233,20 @@ def call_building_blocks(
     broadcast: bool = True,
     anchor: str = "0",
     only: str | None = None,
+    wiggle: str | None = None,
 ) -> DataFrame:
     """Call one cycle's building block: first wiggle shift with a unique tag wins.
 
     Adds __bb<i> (id or null), __amb<i> and __sh<i> (the shift used). A later shift is looked up
-    only for reads the earlier ones left open; the others carry a null key.
+    only for reads the earlier ones left open; the others carry a null key. `only` and `wiggle` are
+    conditions for any look and for looks at a shift.
     """
     table = variants.filter(F.col("cycle") == cycle)
     out, tried = reads, []
     for n, shift in enumerate(settings.shifts):
         key = _section(f"{offset} + {anchor} + ({shift})", length)
         still_open = [only] * (only is not None) + [f"{earlier} IS NULL" for earlier in tried]
+        still_open += [wiggle] * (wiggle is not None and shift != 0)
         if still_open:
             key = F.when(F.expr(" AND ".join(still_open)), key)
         out = lookup(
@@ -261,6 +274,8 @@ def realign_sections(
     bbs: dict,
     settings: DecodeSettings,
     broadcast: bool = True,
+    only: str = "true",
+    wiggle: str | None = None,
 ) -> DataFrame:
     """Second try for uncalled sections, anchored on the neighbour nearer to the library tag.
 
@@ -274,8 +289,9 @@ def realign_sections(
         first = {k: f"__first_{k}" for k in (f"__bb{cycle}", f"__amb{cycle}", f"__sh{cycle}")}
         out = out.withColumn("__anchor", anchor).withColumnsRenamed(first)
         still_open = f"{first[f'__bb{cycle}']} IS NULL AND __anchor <> 0"
+        still_open += f" AND {only}" * (only != "true")
         out = call_building_blocks(
-            out, variants, cycle, offset, length, settings, broadcast, "__anchor", still_open
+            out, variants, cycle, offset, length, settings, broadcast, "__anchor", still_open, wiggle
         )
         bb, amb, sh = f"__bb{cycle}", f"__amb{cycle}", f"__sh{cycle}"
         out = out.withColumns(
@@ -323,6 +339,21 @@ class DecodeTables:
     bb_broadcast: bool
 
 
+def building_block_tables(library_sections: DataFrame, building_blocks: DataFrame, libraries: list[str], distance: int, strands: list[str]) -> DataFrame:
+    """The stored lookup table of the libraries' building blocks, on the strands to be read."""
+    # Each section has its own distance; the layout only knows the largest one of a library.
+    own = library_sections.filter(F.col("kind") == "bb").select(
+        F.col("library_id").alias("__lib"),
+        F.regexp_extract("section", r"(\d+)$", 1).cast("int").alias("__cycle"),
+        F.coalesce(F.regexp_extract("error_correction", r":\s*(\d+)", 1).try_cast("int"), F.lit(0)).alias("allowed"),
+    )
+    wanted = restrict_libraries(building_blocks, libraries).join(
+        F.broadcast(own), (F.col("library_id") == F.col("__lib")) & (F.col("cycle") == F.col("__cycle"))
+    )
+    bb = on_strands(building_block_variants(wanted, distance), strands)
+    return materialize(bb.withColumn("key", F.concat("strand", "library_id")), "bb-lookup")
+
+
 def prepare_tables(
     library_sections: DataFrame,
     building_blocks: DataFrame,
@@ -357,18 +388,9 @@ def prepare_tables(
             ),
             "library-lookup",
         )
-    distance = max(layout.distance for layout in layouts)
-    # Each section has its own distance; the layout only knows the largest one of a library.
-    own = library_sections.filter(F.col("kind") == "bb").select(
-        F.col("library_id").alias("__lib"),
-        F.regexp_extract("section", r"(\d+)$", 1).cast("int").alias("__cycle"),
-        F.coalesce(F.regexp_extract("error_correction", r":\s*(\d+)", 1).try_cast("int"), F.lit(0)).alias("allowed"),
+    bb = building_block_tables(
+        library_sections, building_blocks, [lib for _, lib in ids], max(layout.distance for layout in layouts), _strands(settings)
     )
-    wanted = restrict_libraries(building_blocks, [lib for _, lib in ids]).join(
-        F.broadcast(own), (F.col("library_id") == F.col("__lib")) & (F.col("cycle") == F.col("__cycle"))
-    )
-    bb = on_strands(building_block_variants(wanted, distance), _strands(settings))
-    bb = materialize(bb.withColumn("key", F.concat("strand", "library_id")), "bb-lookup")
     return DecodeTables(
         layouts,
         libraries,
@@ -405,10 +427,14 @@ def decode(
             settings.library_error_tolerance,
             settings.min_library_overlap,
         )
+    if settings.library_indels == "YES":
+        called = search_indels(called, tables.libraries, _strands(settings), settings.library_error_tolerance)
     called = with_anchor(end_span(called))
     if settings.demultiplexer_mode == "library":
         called = attach_layout(called, layouts)
     bbs, (umi_offset, umi_length) = _section_columns(layouts, settings)
+    if settings.library_indels == "YES":
+        bbs, umi_offset = after_called_end(bbs, umi_offset)
     for n, (cycle, (offset, length)) in enumerate(bbs.items()):
         if n and n % CYCLES_PER_SPAN == 0:
             called = end_span(called)
@@ -418,8 +444,6 @@ def decode(
     if settings.realign == "YES":
         called = realign_sections(called, tables.bb_lookup, bbs, settings, tables.bb_broadcast)
 
-    called = called.withColumn("__umi", _section(umi_offset, umi_length))
-    umi_ok = F.expr(f"length(__umi) = {umi_length} AND NOT contains(__umi, 'N')")
     if settings.demultiplexer_algorithm == "regex":
         shortest = min(
             layout.library_start + min(settings.shifts) + min(settings.min_library_overlap, layout.tag_length)
@@ -429,17 +453,27 @@ def decode(
         shortest = settings.min_library_overlap
     single = settings.demultiplexer_mode == "single"
     present = {c: F.lit(True) if single else F.col(off).isNotNull() for c, (off, _) in bbs.items()}
+    return finish(called, bbs, present, umi_offset, umi_length, F.coalesce(F.length("seq"), F.lit(0)) < shortest)
+
+
+def finish(called: DataFrame, bbs: dict, present: dict, umi_offset, umi_length, too_short: Column, first: Column | None = None) -> DataFrame:
+    """UMI, outcome and the columns of decoded reads; `first` is an outcome that goes before all others where it isn't null."""
+    called = called.withColumn("__umi", _section(umi_offset, umi_length))
+    umi_ok = F.expr(f"length(__umi) = {umi_length} AND NOT contains(__umi, 'N')")
     outcome = classify_outcome(
-        F.coalesce(F.length("seq"), F.lit(0)) < shortest,
+        too_short,
         F.col("library_id"),
         {c: (present[c], F.col(f"__bb{c}"), F.col(f"__amb{c}")) for c in bbs},
         umi_ok,
     )
+    outcome = outcome if first is None else F.coalesce(first, outcome)
+    lacks = F.lit(None).cast("string")
+    strand = F.col("strand") if first is None else F.when(first.isNull(), F.col("strand")).otherwise(lacks)
     bb_ids = F.concat_ws(",", *[F.col(f"__bb{c}").cast("string") for c in bbs])
     staged = called.select(
         "selection_id",
         "read_id",
-        "strand",
+        strand.alias("strand"),
         F.nullif("library_id", F.lit(AMBIGUOUS)).alias("library_id"),
         bb_ids.alias("bb_ids"),
         "__umi",

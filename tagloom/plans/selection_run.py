@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators.counts import count_compounds, deduplicate, synthon_counts
-from tagloom.operators.decode import DecodeSettings, decode, prepare_tables, restrict_libraries
+from tagloom.operators.decode_groups import decode_groups, prepare_groups
 from tagloom.operators.enrich import enrichment, observed_blocks
 from tagloom.operators.preprocess import filter_reads, merge_pairs
 from tagloom.operators.stats import decode_stats, decode_summary, merge_stats, report_tables
@@ -17,7 +17,6 @@ from tagloom.session import materialize
 from tagloom.sources import sinks
 from tagloom.sources.fastq import read_fastq, read_fastq_pairs
 
-MAX_SELECTIONS = 100_000
 # Outcome of reads whose selection is not in the selections table.
 UNLISTED = "unknown_selection"
 
@@ -66,34 +65,11 @@ def prepare_reads(
 def decode_selections(
     reads: DataFrame, selections: DataFrame, library_sections: DataFrame, building_blocks: DataFrame
 ) -> DataFrame:
-    """Decode every selection against its own libraries, or all if it names none, with its own settings.
+    """Decode every selection against its own libraries, or all if it names none, with its own settings, in one scan.
 
-    Selections that share both are decoded together; the metadata is small and read by the driver. Reads of
-    selections that aren't listed come back with the outcome UNLISTED, so no read is lost.
+    Reads of selections that aren't listed come back with the outcome UNLISTED, so no read is lost.
     """
-    rows = selections.select("selection_id", "libraries", "decode_settings").limit(MAX_SELECTIONS + 1)
-    groups: dict = {}
-    for row in rows.collect():
-        settings = DecodeSettings.of(row.decode_settings.asDict())
-        groups.setdefault((settings, tuple(sorted(row.libraries))), []).append(row.selection_id)
-    if sum(map(len, groups.values())) > MAX_SELECTIONS:
-        raise ValueError(f"more than {MAX_SELECTIONS} selections")
-    parts = []
-    for (settings, libraries), ids in groups.items():
-        own_libraries = lambda df: restrict_libraries(df, libraries) if libraries else df
-        tables = prepare_tables(own_libraries(library_sections), own_libraries(building_blocks), settings)
-        own = reads.filter(F.col("selection_id").isin(ids))
-        parts.append(decode(own, settings=settings, tables=tables))
-    if not parts:
-        raise ValueError("no selections")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    known = F.broadcast(selections.select(F.col("selection_id").alias("__known")))
-    unlisted = reads.join(known, F.col("selection_id") == F.col("__known"), "left_anti")
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in out.schema.fields if f.name not in reads.columns}
-    missing["outcome"] = F.lit(UNLISTED)
-    return out.unionByName(unlisted.withColumns(missing).select(*out.columns))
+    return decode_groups(reads, prepare_groups(selections, library_sections, building_blocks), UNLISTED)
 
 
 def run(

@@ -19,6 +19,7 @@ DECODE_SETTINGS = _struct(
     demultiplexer_mode=_S,
     realign=_S,
     wiggle=_S,
+    library_indels=_S,
 )
 
 SELECTIONS = T.StructType(
