@@ -296,6 +296,26 @@ final AS (
 SELECT selection_id, read_id, strand, library_id, CASE WHEN outcome='ok' THEN bb_ids END AS bb_ids,
   CASE WHEN outcome='ok' THEN umi END AS umi, lib_mismatches, outcome FROM final"""
 
+# What each selection's libraries, strands, shifts and tolerance let through.
+MANY_SELECTIONS = f"""
+WITH {TRUTH},
+asked AS (
+  SELECT *, l_partkey % 72 AS k, (k // 4) % 3 AS strands, (k // 12) % 2 = 0 AS wiggle, CASE k % 4 WHEN 2 THEN 2 ELSE k // 36 END AS tolerance,
+    CASE k % 4 WHEN 0 THEN [0] WHEN 1 THEN [1, 2] WHEN 2 THEN [0, 1, 2] ELSE [2] END AS own FROM truth),
+near AS (
+  SELECT *, CASE WHEN k < 70 AND (strands = 0 OR strands = 2 - rc) AND (e <> 7 OR wiggle) AND e <> 11
+    THEN list_filter([{{'mm': hamming(tl, {tag("x*41+27")}), 'x': x}} FOR x IN own], lambda c: c.mm <= tolerance) ELSE [] END AS cand FROM asked),
+called AS (
+  SELECT *, list_min(cand) AS best, len(list_filter(cand, lambda c: c.mm = list_min(cand).mm)) AS n FROM near),
+ended AS (
+  SELECT *, CASE WHEN k >= 70 THEN 'unknown_selection' WHEN n = 0 THEN 'no_library' WHEN n > 1 THEN 'ambiguous_library'
+    WHEN e = 13 THEN 'bb3_unmatched' WHEN e = 15 THEN 'umi_invalid' ELSE 'ok' END AS o FROM called)
+SELECT 's' || k AS selection_id, read_id, CASE WHEN k >= 70 THEN NULL WHEN n > 0 THEN CASE rc WHEN 1 THEN '-' ELSE '+' END WHEN strands = 1 THEN '-' ELSE '+' END AS strand,
+  CASE WHEN n = 1 THEN 'L0' || best.x END AS library_id, CASE WHEN o = 'ok' THEN bb_ids END AS bb_ids, CASE WHEN o = 'ok' THEN umi END AS umi,
+  best.mm::INT AS lib_mismatches, o AS outcome
+FROM ended
+"""
+
 # Every stretch of every read against every tag; tags end at the least (distance, end, library).
 SEARCH_INDELS = f"""
 WITH {TRUTH},
@@ -326,6 +346,7 @@ ORACLE_SQL = {
     "decode_outcomes": f"WITH {TRUTH} SELECT selection_id, outcome, count(*)::BIGINT AS n FROM truth GROUP BY ALL",
     "decode_fallback": SEARCH,
     "search_indels": SEARCH_INDELS,
+    "decode_selections": MANY_SELECTIONS,
     "fastq_roundtrip": f"WITH {TRUTH} SELECT read_id, seq, repeat('I', length(seq)) AS qual FROM truth",
     "fastq_lanes_gz": f"""WITH {TRUTH} SELECT (l_orderkey % 3)::INT AS lane, (row_number() OVER (PARTITION BY l_orderkey % 3
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1)::BIGINT AS ordinal, read_id, seq FROM truth""",

@@ -289,6 +289,17 @@ def unlisted_selections(spark, sf_dir):
     return reads.filter("level = 'total'").select("selection_id", "ok", UNLISTED, "reads")
 
 
+def many_selections(spark, sf_dir):
+    """72 selections, 70 of them listed, each with libraries and settings of its own."""
+    lines = d.table(spark, sf_dir, "lineitem")
+    reads = d.truth_reads(d.spread(lines)).select(F.concat(F.lit("s"), F.col("l_partkey") % 72).alias("selection_id"), "read_id", "seq")
+    listed = []
+    for k in range(70):
+        settings = {"revcomp": ["BOTH", "YES", "NO"][k // 4 % 3], "wiggle": ["YES", "NO"][k // 12 % 2], "library_error_tolerance": 2 if k % 4 == 2 else k // 36}
+        listed.append({"selection_id": f"s{k}", "libraries": [["L00"], ["L02", "L01"], [], ["L02"]][k % 4], "decode_settings": settings})
+    return decode_selections(materialize(reads, "reads"), selections_df(spark, listed), *library_tables(spark, sf_dir))
+
+
 def enrichment(spark, sf_dir):
     scores = E.enrichment(Q.derived_counts(spark, sf_dir), d.derived_building_blocks(spark, sf_dir))
     return scores.select(
@@ -514,6 +525,7 @@ QUERIES = {
     "mixed_cycles": mixed_cycles,
     "run_counts": run_counts,
     "unlisted_selections": unlisted_selections,
+    "decode_selections": many_selections,
     "enrichment": enrichment,
     "synthon_enrichment": synthon_enrichment,
     "enrichment_contrast": enrichment_contrast,
