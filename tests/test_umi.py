@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tagloom.operators import components
 from tagloom.operators.components import labels_of_large_groups, labels_of_small_groups
 from tagloom.operators.counts import count_compounds, dedup_counts, raw_counts
 from tagloom.operators.umi import (
@@ -116,3 +117,51 @@ def test_tally_and_collect(spark):
     spread = collect_umis(many, max_umis=100)
     assert spread.filter("bb_ids = '1'").count() == 5 and rows(explode_collected(spread)) == rows(many)
     assert rows(merge_tallies(tally.unionByName(tally)), "umi", "c") == [("AA", 4), ("CC", 2)]
+
+
+def true_labels(links):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for g, a, b in links:
+        low, high = sorted((find((g, a)), find((g, b))), key=lambda x: x[1])
+        root[high] = low
+    return {x: find(x)[1] for g, a, b in links if a != b for x in ((g, a), (g, b))}
+
+
+def test_forests_and_rounds_give_the_same_components(spark, monkeypatch):
+    """A path, a hub, random links and null groups; settled by one forest, and in rounds with the hub's rows left in place."""
+    rng = random.Random(5)
+    links = [(None, i, i + 1) for i in range(300)] + [("h", 1000, 1001 + i) for i in range(600)]
+    links += [(rng.choice([None, "r", "h"]), rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    df = spark.createDataFrame(links, "s string, a bigint, b bigint").repartition(6)
+    want = true_labels(links)
+    found = lambda size: {(r.s, r.umi): r.label for r in components.labels_of_large_groups(df, ["s"], size).collect()}
+    assert found(None) == want
+    shuffled = []
+    true_join = components.with_least
+
+    def watched(around, least, group, hub):
+        shuffled.append(least.filter(F.col("n") <= hub).agg(F.max("n")).first()[0])
+        return true_join(around, least, group, hub)
+
+    monkeypatch.setattr(components, "HUB_DEGREE", 40)
+    monkeypatch.setattr(components, "HUB_SHARE", 10**9)
+    monkeypatch.setattr(components, "with_least", watched)
+    assert found(150) == want and max(shuffled) <= 40
+
+
+def test_a_giant_component_is_thinned_in_its_tasks(spark):
+    """100,000 members: no task passes on more than one link for each of its nodes, and none reads over a twentieth of the rows."""
+    n, parts = 100_000, 40
+    links = spark.range(0, n, 1, parts).select((F.col("id") + 1).alias("a"), F.floor(F.col("id") / 2).cast("bigint").alias("b"))
+    links = links.unionByName(spark.range(0, n, 1, parts).select((F.col("id") + 1).alias("a"), F.floor(F.col("id") / 3).cast("bigint").alias("b")))
+    links = links.filter("a <> b")
+    thin = components.forests(links, [], 10**6).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("k"))
+    found = thin.collect()
+    assert all(r.n == r.k for r in found) and max(r.n for r in found) <= 0.05 * sum(r.n for r in found)
+    assert components.labels_of_large_groups(links, [], 10**6).select("label").distinct().count() == 1
