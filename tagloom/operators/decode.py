@@ -15,6 +15,7 @@ from tagloom.functions.dna import extract_section, revcomp, strand_section
 from tagloom.operators.indel_search import search_indels
 from tagloom.operators.layout import Layout, read_layouts
 from tagloom.operators.search import search_library
+from tagloom.operators.section_indels import call_open_sections
 from tagloom.operators.variants import (
     AMBIGUOUS,
     RANK_BITS,
@@ -47,6 +48,8 @@ class DecodeSettings:
     wiggle: str = "YES"
     # Reads that the library call leaves open are searched once more, for tags with insertions and deletions.
     library_indels: str = "NO"
+    # Sections that the lookups leave open are tried with windows of other lengths.
+    section_indels: str = "NO"
 
     allowed = {
         "revcomp": (*YES_NO, "BOTH"),
@@ -55,6 +58,7 @@ class DecodeSettings:
         "realign": YES_NO,
         "wiggle": YES_NO,
         "library_indels": YES_NO,
+        "section_indels": YES_NO,
     }
 
     def __post_init__(self):
@@ -337,6 +341,8 @@ class DecodeTables:
     library_broadcast: bool
     bb_lookup: DataFrame
     bb_broadcast: bool
+    library_sections: DataFrame
+    building_blocks: DataFrame
 
 
 def building_block_tables(library_sections: DataFrame, building_blocks: DataFrame, libraries: list[str], distance: int, strands: list[str]) -> DataFrame:
@@ -398,6 +404,8 @@ def prepare_tables(
         found is not None and is_small(found, limit),
         bb,
         is_small(bb, limit),
+        library_sections,
+        building_blocks,
     )
 
 
@@ -443,6 +451,8 @@ def decode(
         )
     if settings.realign == "YES":
         called = realign_sections(called, tables.bb_lookup, bbs, settings, tables.bb_broadcast)
+    if settings.section_indels == "YES":
+        called = call_open_sections(called, tables.library_sections, tables.building_blocks, bbs, settings.shifts)
 
     if settings.demultiplexer_algorithm == "regex":
         shortest = min(

@@ -34,6 +34,7 @@ from tagloom.operators.decode import (
 from tagloom.operators.indel_search import BLOCK_READS, TagIndex, find_tags
 from tagloom.operators.layout import Layout, read_layouts
 from tagloom.operators.search import COMPLEMENT, search_batch
+from tagloom.operators.section_indels import call_open_sections
 from tagloom.operators.variants import AMBIGUOUS, RANK_BITS, RANK_STEP, on_strands, substitution_variants
 from tagloom.session import BROADCAST_ROWS, end_span, is_small, lookup, materialize
 
@@ -42,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Groups, not selections: the driver reads one row for each distinct combination of libraries and settings.
 MAX_GROUPS = 100_000
-GROUP = {"group": "__group", "plus": "__plus", "minus": "__minus", "anchored": "__anchored", "wiggle": "__wiggle", "realign": "__realign", "shortest": "__shortest"}
+GROUP = {"group": "__group", "plus": "__plus", "minus": "__minus", "anchored": "__anchored", "wiggle": "__wiggle", "realign": "__realign", "indels": "__indels", "shortest": "__shortest"}
 
 
 @dataclass
@@ -65,6 +66,8 @@ class GroupTables:
     bb_lookup: DataFrame
     bb_broadcast: bool
     tags: list[tuple[str, str]]
+    library_sections: DataFrame
+    building_blocks: DataFrame
 
 
 def grouped_variants(tags: DataFrame, members: DataFrame, tolerance: int) -> DataFrame:
@@ -122,10 +125,10 @@ def prepare_groups(selections: DataFrame, library_sections: DataFrame, building_
         numbers[row.key] = found.number
     listed = list(groups.values())
     flags = [
-        (g.number, "+" in _strands(g.settings), "-" in _strands(g.settings), g.settings.demultiplexer_algorithm == "regex", g.settings.wiggle == "YES", g.settings.realign == "YES", g.shortest)
+        (g.number, "+" in _strands(g.settings), "-" in _strands(g.settings), g.settings.demultiplexer_algorithm == "regex", g.settings.wiggle == "YES", g.settings.realign == "YES", g.settings.section_indels == "YES", g.shortest)
         for g in listed
     ]
-    flag_rows = spark.createDataFrame(flags, "group int, plus boolean, minus boolean, anchored boolean, wiggle boolean, realign boolean, shortest int")
+    flag_rows = spark.createDataFrame(flags, "group int, plus boolean, minus boolean, anchored boolean, wiggle boolean, realign boolean, indels boolean, shortest int")
     by_key = spark.createDataFrame(list(numbers.items()), "key string, number int")
     joined = keyed.join(F.broadcast(by_key), "key").join(F.broadcast(flag_rows), F.col("number") == F.col("group"))
     members = materialize(joined.select("selection_id", *GROUP).distinct(), "groups")
@@ -141,7 +144,7 @@ def prepare_groups(selections: DataFrame, library_sections: DataFrame, building_
     bb = building_block_tables(library_sections, building_blocks, sorted(layout_of), max(x.distance for x in layouts), ["+", "-"])
     searched = any(g.settings.demultiplexer_algorithm != "regex" or g.settings.library_indels == "YES" for g in listed)
     tags = sorted((r.library_id, r.tag) for r in libraries.filter(F.length("tag") > 0).collect()) if searched else []
-    return GroupTables(listed, members, layouts, found, is_small(found, limit), bb, is_small(bb, limit), tags)
+    return GroupTables(listed, members, layouts, found, is_small(found, limit), bb, is_small(bb, limit), tags, library_sections, building_blocks)
 
 
 def _call_anchored(reads: DataFrame, tables: GroupTables) -> DataFrame:
@@ -271,5 +274,9 @@ def decode_groups(reads: DataFrame, tables: GroupTables, unlisted: str) -> DataF
         called = call_building_blocks(called, tables.bb_lookup, cycle, offset, length, settings, tables.bb_broadcast, wiggle="__wiggle")
     if any(g.settings.realign == "YES" for g in tables.groups):
         called = realign_sections(called, tables.bb_lookup, bbs, settings, tables.bb_broadcast, "__realign", "__wiggle")
+    if any(g.settings.section_indels == "YES" for g in tables.groups):
+        for wiggle in {g.settings.wiggle for g in tables.groups if g.settings.section_indels == "YES"}:
+            only = f"__indels AND __wiggle = {'true' if wiggle == 'YES' else 'false'}"
+            called = call_open_sections(called, tables.library_sections, tables.building_blocks, bbs, DecodeSettings.of(wiggle=wiggle).shifts, only)
     present: dict[int, Column] = {c: F.col(f"__off{c}").isNotNull() for c in bbs}
     return finish(called, bbs, present, umi_offset, umi_length, F.coalesce(F.length("seq"), F.lit(0)) < F.col("__shortest"), F.when(F.col("__group").isNull(), unlisted))

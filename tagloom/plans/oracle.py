@@ -25,6 +25,7 @@ def rc(s: str) -> str:
     return f"translate(reverse({s}), 'ACGTN', 'TGCAN')"
 
 
+ERROR = "(l_orderkey // 40 + 3 * (l_partkey // 8) + 7 * (l_suppkey // 12) + 11 * l_linenumber) % 20"
 TRUTH = f"""
 base AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -32,7 +33,7 @@ base AS (
     CASE WHEN l_returnflag = 'R' THEN 'ctrl' ELSE 'tgt' END AS selection_id,
     (l_orderkey % 2)::INT AS rc, (l_suppkey % 3)::INT AS lib, (l_partkey % 8)::INT AS b1,
     (l_suppkey % 4)::INT AS b2, l_linenumber::INT AS b3, (l_orderkey % 40)::INT AS u,
-    ((l_orderkey // 40 + 3 * (l_partkey // 8) + 7 * (l_suppkey // 12) + 11 * l_linenumber) % 20)::INT AS e
+    ({ERROR})::INT AS e
   FROM lineitem),
 tags AS (
   SELECT *, {tag("b1+16")} AS t1, {tag("b2+64")} AS t2, {tag("b3+128")} AS t3, {tag("lib*41+27")} AS tl,
@@ -55,6 +56,9 @@ truth AS (
       ELSE 'ok' END AS outcome,
     'L0' || lib AS library_id, b1 || ',' || b2 || ',' || b3 AS bb_ids FROM fwds)"""
 
+# The same reads without any seeded error.
+NO_ERRORS = TRUTH.replace(ERROR, "0")
+
 DECODED = (
     TRUTH
     + """,
@@ -316,6 +320,69 @@ SELECT 's' || k AS selection_id, read_id, CASE WHEN k >= 70 THEN NULL WHEN n > 0
 FROM ended
 """
 
+
+
+def _section_steps() -> str:
+    """Cycles from the library tag outwards: each begins where the one before it left off."""
+    out = ""
+    for c in (3, 2, 1):
+        start, nearer = ("0", "") if c == 3 else (f"done{c + 1}.moved", f"JOIN done{c + 1} USING (seq)")
+        end = f"pos + ({c} - 4) * 14 + 12 + c0 + sh"
+        out += f"""
+moved{c} AS (SELECT d.seq, d.s, d.pos, d.lib, d.id{c}, d.amb{c}, d.sh{c}, {start} AS c0 FROM first d {nearer}),
+tried{c} AS (
+  SELECT seq, o, sh, c0, n, b.id, levenshtein(substr(s, {end} - n + 1, n), tag) AS lev
+  FROM moved{c} m, shifts, range(11, 14) l(n), blocks b
+  WHERE id{c} IS NULL AND b.library_id = lib AND b.cycle = {c} AND {end} - n >= 0 AND {end} <= length(s)),
+best{c} AS (
+  SELECT seq, o, min(c0 + sh) AS put, min(lev) AS low, list({{'id': id, 'lev': lev, 'r': 2 * abs(n - 12) + (n > 12)::INT, 'n': n}}) AS f
+  FROM tried{c} WHERE lev <= 1 GROUP BY seq, o),
+ids{c} AS (SELECT *, list_distinct([x.id FOR x IN f IF x.lev = low]) AS ids, list_min([{{'r': x.r, 'n': x.n}} FOR x IN f IF x.lev = low]).n AS n FROM best{c}),
+called{c} AS (SELECT seq, arg_min({{'id': ids[1], 'moved': put - (n - 12)}}, o) FILTER (len(ids) = 1) AS got, bool_or(len(ids) > 1) AS amb FROM ids{c} GROUP BY seq),
+done{c} AS (
+  SELECT m.seq, coalesce(m.id{c}, k.got.id) AS id, m.amb{c} OR coalesce(k.amb, false) AS amb,
+    CASE WHEN m.id{c} IS NOT NULL THEN m.sh{c} ELSE coalesce(k.got.moved, m.c0) END AS moved FROM moved{c} m LEFT JOIN called{c} k USING (seq)),"""
+    return out
+
+
+# The library tag is where it was moved to; windows of 11 to 13 bases for the sections that no window of 12 settles.
+INDEL_SECTIONS = f"""
+WITH {NO_ERRORS}, {BLOCKS},
+indels AS (
+  SELECT *, l_orderkey % 7 AS w, CASE w WHEN 1 THEN substr(fwd, 1, 30) || substr(fwd, 32) WHEN 2 THEN substr(fwd, 1, 45) || 'A' || substr(fwd, 46)
+    WHEN 3 THEN substr(fwd, 1, 16) || substr(fwd, 18, 28) || 'A' || substr(fwd, 46) WHEN 4 THEN substr(fwd, 1, 30) || substr(fwd, 32, 14) || substr(fwd, 47)
+    WHEN 5 THEN substr(fwd, 1, 16) || substr(fwd, 18, 13) || substr(fwd, 32, 14) || substr(fwd, 47) ELSE fwd END AS f,
+    53 + CASE w WHEN 1 THEN -1 WHEN 2 THEN 1 WHEN 4 THEN -2 WHEN 5 THEN -3 ELSE 0 END
+      -- The tag of library 1 repeats AC: before such a UMI it is found where the layout puts it, two bases late.
+      + CASE WHEN lib = 1 AND w IN (4, 5) AND umi LIKE 'AC%' THEN 2 ELSE 0 END AS true_pos,
+    -- The tag of library 0 is its own reverse complement: where it is searched for, the forward strand wins.
+    rc = 1 AND lib = 0 AND w IN (4, 5) AS turned FROM truth),
+changed AS (
+  SELECT *, CASE WHEN turned OR rc = 0 THEN '+' ELSE '-' END AS strand FROM (
+    SELECT *, CASE WHEN turned THEN {rc("f")} ELSE f END AS s, CASE WHEN turned THEN length(f) - true_pos - 12 ELSE true_pos END AS pos FROM indels)),
+distinct_reads AS (SELECT DISTINCT s AS seq, s, pos, library_id AS lib FROM changed),
+shifts AS (SELECT * FROM (VALUES (0, 0), (1, -1), (2, 1)) v(o, sh)),
+plain AS (
+  SELECT seq, b.cycle, o, sh, b.id, CASE WHEN pos + (b.cycle - 4) * 14 + sh + 12 <= length(s) THEN hamming(rpad(substr(s, pos + (b.cycle - 4) * 14 + sh + 1, 12), 12, '-'), b.tag) END AS h
+  FROM distinct_reads, shifts, blocks b WHERE b.library_id = lib AND pos + (b.cycle - 4) * 14 + sh >= 0),
+plain_low AS (SELECT seq, cycle, o, any_value(sh) AS sh, min(h) AS low, list({{'id': id, 'h': h}}) AS f FROM plain WHERE h <= 1 GROUP BY seq, cycle, o),
+plain_ids AS (SELECT *, list_distinct([x.id FOR x IN f IF x.h = low]) AS ids FROM plain_low),
+plain_call AS (SELECT seq, cycle, arg_min({{'id': ids[1], 'sh': sh}}, o) FILTER (len(ids) = 1) AS k, bool_or(len(ids) > 1) AS amb FROM plain_ids GROUP BY seq, cycle),
+first AS (
+  SELECT r.*, {", ".join(f"c{i}.k.id AS id{i}, c{i}.k.sh AS sh{i}, coalesce(c{i}.amb, false) AS amb{i}" for i in (1, 2, 3))}
+  FROM distinct_reads r {" ".join(f"LEFT JOIN plain_call c{i} ON c{i}.seq = r.seq AND c{i}.cycle = {i}" for i in (1, 2, 3))}),
+{_section_steps()}
+ended AS (
+  SELECT m.*, d1.id AS i1, d2.id AS i2, d3.id AS i3, substr(m.s, m.pos + 13, 12) AS umi_,
+    CASE WHEN d1.id IS NULL AND d1.amb THEN 'bb1_ambiguous' WHEN d1.id IS NULL THEN 'bb1_unmatched'
+      WHEN d2.id IS NULL AND d2.amb THEN 'bb2_ambiguous' WHEN d2.id IS NULL THEN 'bb2_unmatched'
+      WHEN d3.id IS NULL AND d3.amb THEN 'bb3_ambiguous' WHEN d3.id IS NULL THEN 'bb3_unmatched' ELSE 'ok' END AS o
+  FROM changed m JOIN done1 d1 ON d1.seq = m.s JOIN done2 d2 ON d2.seq = m.s JOIN done3 d3 ON d3.seq = m.s)
+SELECT selection_id, read_id, strand, library_id, CASE WHEN o = 'ok' THEN i1 || ',' || i2 || ',' || i3 END AS bb_ids,
+  CASE WHEN o = 'ok' THEN umi_ END AS umi, 0::INT AS lib_mismatches, o AS outcome
+FROM ended
+"""
+
 # Every stretch of every read against every tag; tags end at the least (distance, end, library).
 SEARCH_INDELS = f"""
 WITH {TRUTH},
@@ -346,6 +413,7 @@ ORACLE_SQL = {
     "decode_outcomes": f"WITH {TRUTH} SELECT selection_id, outcome, count(*)::BIGINT AS n FROM truth GROUP BY ALL",
     "decode_fallback": SEARCH,
     "search_indels": SEARCH_INDELS,
+    "indel_sections": INDEL_SECTIONS,
     "decode_selections": MANY_SELECTIONS,
     "fastq_roundtrip": f"WITH {TRUTH} SELECT read_id, seq, repeat('I', length(seq)) AS qual FROM truth",
     "fastq_lanes_gz": f"""WITH {TRUTH} SELECT (l_orderkey % 3)::INT AS lane, (row_number() OVER (PARTITION BY l_orderkey % 3

@@ -87,6 +87,24 @@ def search_indels(spark, sf_dir):
     return search_with_indels(reads, tags, ["+", "-"]).drop("seq")
 
 
+def indel_sections(spark, sf_dir):
+    """Reads whose sections lost or gained a base, one or two of them, decoded with windows of changing length."""
+    lines = d.spread(d.table(spark, sf_dir, "lineitem"))
+    which = F.col("l_orderkey") % 7
+    whole = d.truth_reads(lines, error=F.lit(0))
+    drop = lambda text, a: F.concat(F.substr(text, F.lit(1), F.lit(a)), F.substr(text, F.lit(a + 2)))
+    add = lambda text, a: F.concat(F.substr(text, F.lit(1), F.lit(a)), F.lit("A"), F.substr(text, F.lit(a + 1)))
+    fwd = F.col("fwd")
+    moved = (
+        F.when(which == 1, drop(fwd, 30)).when(which == 2, add(fwd, 45)).when(which == 3, drop(add(fwd, 45), 16))
+        .when(which == 4, drop(drop(fwd, 45), 30)).when(which == 5, drop(drop(drop(fwd, 45), 30), 16)).otherwise(fwd)
+    )
+    seq = F.when(F.col("rc") == 1, F.translate(F.reverse(moved), "ACGT", "TGCA")).otherwise(moved)
+    reads = materialize(whole.select("selection_id", "read_id", seq.alias("seq")), "reads")
+    settings = DecodeSettings.of(revcomp="BOTH", library_error_tolerance=0, library_indels="YES", section_indels="YES")
+    return decode(reads, *library_tables(spark, sf_dir), settings)
+
+
 def fastq_roundtrip(spark, sf_dir):
     path = new_path(spark, "fastq")
     sinks.write_fastq(d.derived_reads(spark, sf_dir), path)
@@ -498,6 +516,7 @@ QUERIES = {
     "decode_outcomes": decode_outcomes,
     "decode_fallback": decode_fallback,
     "search_indels": search_indels,
+    "indel_sections": indel_sections,
     "fastq_roundtrip": fastq_roundtrip,
     "fastq_lanes_gz": fastq_lanes_gz,
     "pair_merge": pair_merge,

@@ -20,6 +20,7 @@ DECODE_SETTINGS = _struct(
     realign=_S,
     wiggle=_S,
     library_indels=_S,
+    section_indels=_S,
 )
 
 SELECTIONS = T.StructType(

@@ -80,7 +80,7 @@ def validate_settings(selections: DataFrame) -> DataFrame:
     s = F.col("decode_settings")
     known = selections.schema["decode_settings"].dataType.names
     for name, values in DecodeSettings.allowed.items():
-        if name not in known and name == "library_indels":  # younger than the others: tables may lack it
+        if name not in known and name.endswith("_indels"):  # younger than the others: tables may lack it
             continue
         selections = selections.filter(_must(s[name].isin(*values), s[name], f"{name} must be one of {', '.join(values)}"))
     for name, least in (("library_error_tolerance", 0), ("min_library_overlap", 1)):
