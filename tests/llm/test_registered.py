@@ -20,12 +20,12 @@ def docs_of(spark, sf):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES)
-    assert numbers == list(range(1, 11)) and set(LLM_SQL) <= set(LLM_QUERIES)
+    assert numbers == list(range(1, 14)) and set(LLM_SQL) <= set(LLM_QUERIES)
 
 
 def test_sql(spark, sf):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     for name, sql in LLM_SQL.items():
         want = con.execute(sql)
