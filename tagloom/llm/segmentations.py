@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.pieces import MARK, PieceTable, default_path, piece_table, units_of
-from tagloom.llm.texts import HashIndex, as_text, mix64
+from tagloom.llm.texts import HashIndex, as_text, give_back, mix64
 
 SHIFT = 10.0
 # Bytes of text whose units share one lattice; bounds memory, not texts.
@@ -361,6 +361,16 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
             lo, size = i + 1, 0
 
 
+def shown_pieces(vocabulary: PieceTable) -> list[bytes]:
+    """The bytes of each id; ids that are no pieces, such as control symbols, have none."""
+    shown = [b""] * len(vocabulary.pieces)
+    for piece, i in vocabulary.ids.items():
+        shown[i] = piece.replace(MARK, " ").encode()
+    for b, i in enumerate(vocabulary.byte_ids.tolist()):
+        shown[i] = bytes([b])
+    return shown
+
+
 def sample_segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2, heat: float = 1.0, path: str | None = None) -> DataFrame:
     """Up to k distinct segmentations of each whole text: key, content (hash of the text), sample, ids, log_prob, log_inclusion.
 
@@ -370,6 +380,11 @@ def sample_segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text
     empty text has one segmentation without pieces; a text with fewer than k gives all of them. Repeated rows give
     the same samples again. Null keys share one seed.
     """
+    return _sampled(docs, key, text, k, heat, path).select(F.col("row.key").alias(key), F.col("row.content").alias("content"), "sample", "ids", "log_prob", "log_inclusion")
+
+
+def _sampled(docs: DataFrame, key: str, text: str, k: int, heat: float, path: str | None) -> DataFrame:
+    """Samples with `row` (key and content) and `round_trip`: whether the ids decode to the text, checked where they are drawn."""
     path = path or default_path("piece_bpe_32k.model")
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(value).alias("content")).alias("row"), value.alias("text"), F.xxhash64(F.col(key).cast("string")).alias("seed"))
@@ -377,17 +392,27 @@ def sample_segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(path, k, heat)
+        shown = shown_pieces(sampler.vocabulary)
         for batch in batches:
             texts, seeds = as_text(batch.column(1)), batch.column(2).to_numpy().view(np.uint64)
             for lo, hi in _parts(texts):
-                ids, lengths, log_p, included, owner = sampler.sample(texts.slice(lo, hi - lo).to_pylist(), seeds[lo:hi])
+                some = texts.slice(lo, hi - lo).to_pylist()
+                ids, lengths, log_p, included, owner = sampler.sample(some, seeds[lo:hi])
                 number = np.arange(len(owner)) - np.searchsorted(owner, owner)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(ids, pa.int32()))
-                columns = [batch.column(0).take(pa.array(owner + lo)), pa.array(number, pa.int32()), lists, pa.array(log_p), pa.array(included)]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "sample", "ids", "log_prob", "log_inclusion"])
+                cuts = np.r_[0, np.cumsum(lengths)]
+                # With the dummy prefix, if there is a text; marks in a text come back as blanks.
+                want = [f" {t}".replace(MARK, " ").encode("utf-8", "surrogatepass") if t else b"" for t in some]
+                said = b"".join(map(shown.__getitem__, ids.tolist()))
+                if said == b"".join([want[i] for i in owner.tolist()]):
+                    equal = np.ones(len(owner), dtype=bool)
+                else:
+                    equal = np.array([b"".join([shown[i] for i in ids[a:b].tolist()]) == want[o] for a, b, o in zip(cuts, cuts[1:], owner.tolist())])
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
+                columns = [batch.column(0).take(pa.array(owner + lo)), pa.array(number, pa.int32()), lists, pa.array(log_p), pa.array(included), pa.array(equal)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "sample", "ids", "log_prob", "log_inclusion", "round_trip"])
+        give_back()
 
-    made = rows.mapInArrow(work, f"row {kind}, sample int, ids array<int>, log_prob double, log_inclusion double")
-    return made.select(F.col("row.key").alias(key), F.col("row.content").alias("content"), "sample", "ids", "log_prob", "log_inclusion")
+    return rows.mapInArrow(work, f"row {kind}, sample int, ids array<int>, log_prob double, log_inclusion double, round_trip boolean")
 
 
 def decode_ids(rows: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
@@ -403,11 +428,7 @@ def decode_ids(rows: DataFrame, ids: str = "ids", out: str = "decoded", path: st
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = piece_table(path)
-        shown = [b""] * len(vocabulary.pieces)
-        for piece, i in vocabulary.ids.items():
-            shown[i] = piece.replace(MARK, " ").encode()
-        for b, i in enumerate(vocabulary.byte_ids.tolist()):
-            shown[i] = bytes([b])
+        shown = shown_pieces(vocabulary)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -423,11 +444,10 @@ def decode_ids(rows: DataFrame, ids: str = "ids", out: str = "decoded", path: st
 def encode_decode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2, heat: float = 1.0, path: str | None = None) -> DataFrame:
     """Segmentations with their decoded text's check: key, sample, n_pieces, ids, ids_hash, log_prob, log_inclusion, round_trip.
 
-    `round_trip` tells whether decoding gives back the text, whose marks, if any, come back as blanks.
+    `round_trip` tells whether decoding gives back the text, whose marks, if any, come back as blanks. The ids are decoded
+    by the task that drew them.
     """
-    value = F.replace(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(MARK), F.lit(" "))
-    made = decode_ids(sample_segmentations(docs.select(key, value.alias("text")), key, "text", k, heat, path), path=path)
+    made = _sampled(docs, key, text, k, heat, path)
     return made.select(
-        key, "sample", F.size("ids").cast("long").alias("n_pieces"), "ids", F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
-        (F.xxhash64("decoded") == F.col("content")).alias("round_trip"),
+        F.col("row.key").alias(key), "sample", F.size("ids").cast("long").alias("n_pieces"), "ids", F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion", "round_trip",
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +50,14 @@ _POWER, _INVERSE = _powers(PART_BYTES + 1)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers live on, and later stages need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def as_text(column: pa.Array) -> pa.Array:
     """The column as non-null strings; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
