@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.ids import bb_array
+from tagloom.operators.places import running_sums
 from tagloom.session import LOOKUP_SALTS, is_small, materialize, sized_broadcast
 
 LIBRARY = ["selection_id", "library_id"]
+# Spark limits a window's groups in each task below this many rows; a window beyond it would sort a library in one task.
+WINDOW_LIMIT = 1000
 
 
 def attach_building_blocks(counts: DataFrame, building_blocks: DataFrame, n_cycles: int) -> DataFrame:
@@ -141,25 +144,28 @@ def contrast(counts: DataFrame, target_id: str, control_id: str, pseudo: float =
     )
 
 
+def score_ranks(scores: DataFrame, by: str) -> DataFrame:
+    """(selection, library, score) with `before`, the rows of a better score in the library, `total`, all of them, and `n`."""
+    per_score = scores.groupBy(*LIBRARY, by).agg(F.count(F.lit(1)).alias("n"))
+    return materialize(running_sums(per_score, LIBRARY, [F.col(by).desc_nulls_last()], "n"), "score-ranks")
+
+
 def rank_enrichment(scores: DataFrame, by: str = "z_n") -> DataFrame:
     """Add `rank` and `percent_rank` by descending score within each (selection, library).
 
     Scores repeat (they follow small integer counts), so the ranks are worked out on the distinct
-    scores and joined back: a hot library is never sorted in one task.
+    scores and joined back: a hot library is never sorted in one task. The scores are stored first, so both
+    sides of the join hold the same bits.
     """
-    per_score = materialize(
-        scores.groupBy(*LIBRARY, by).agg(F.count(F.lit(1)).alias("__n")), "score-counts"
-    )
-    w = Window.partitionBy(*LIBRARY)
-    above = w.orderBy(F.desc_nulls_last(by)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_score.select(
+    scores = materialize(scores, "scores")
+    ranks = score_ranks(scores, by).select(
         *[F.col(c).alias(f"__{c}") for c in LIBRARY],
         F.col(by).alias("__by"),
-        (F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1).alias("rank"),
-        F.sum("__n").over(w).alias("__all"),
+        (F.col("before") + 1).alias("rank"),
+        F.col("total").alias("__all"),
     )
     same = [F.col(f"__{c}").eqNullSafe(F.col(c)) for c in LIBRARY] + [F.col("__by").eqNullSafe(F.col(by))]
-    if is_small(per_score):
+    if is_small(ranks):
         joined = scores.join(F.broadcast(ranks), same)
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1)))
@@ -172,10 +178,23 @@ def rank_enrichment(scores: DataFrame, by: str = "z_n") -> DataFrame:
 
 
 def top_enriched(scores: DataFrame, k: int, per_library: bool = True, by: str = "z_n") -> DataFrame:
-    """The k best, ties broken by key. Spark keeps k per task before the shuffle in both forms."""
+    """The k best, ties broken by key. Spark keeps k per task before the shuffle, up to WINDOW_LIMIT per library.
+
+    For more, the scores of each library are counted, the score of the k-th row is read off the running counts, and only
+    rows at least as good are put in order, by ranges.
+    """
     key = "bb_ids" if "bb_ids" in scores.columns else "synthon"
     order = [F.desc_nulls_last(by), F.asc(key)]
     if not per_library:
         return scores.orderBy(*order, "selection_id", "library_id").limit(k)
-    place = F.row_number().over(Window.partitionBy(*LIBRARY).orderBy(*order))
-    return scores.withColumn("place", place).filter(F.col("place") <= k)
+    if k < WINDOW_LIMIT:
+        place = F.row_number().over(Window.partitionBy(*LIBRARY).orderBy(*order))
+        return scores.withColumn("place", place).filter(F.col("place") <= k)
+    scores = materialize(scores, "scores")
+    last = score_ranks(scores, by).filter(F.col("before") < k).groupBy(*[F.col(c).alias(f"__{c}") for c in LIBRARY])
+    cuts = last.agg(F.min(by).alias("__cut"), F.max(F.col(by).isNull()).alias("__nulls"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LIBRARY]
+    enough = F.col("__nulls") | (F.col(by) >= F.col("__cut"))
+    best = scores.join(sized_broadcast(cuts), [*same, enough]).select(*scores.columns)
+    ranked = running_sums(best, LIBRARY, order)
+    return ranked.filter(F.col("before") < k).select(*scores.columns, (F.col("before") + 1).cast("int").alias("place"))

@@ -505,6 +505,10 @@ ORACLE_SQL = {
         FROM scores WINDOW w AS (PARTITION BY selection_id, library_id ORDER BY count DESC)""",
     "top_enriched": f"""WITH {SCORES} SELECT * FROM (SELECT selection_id, library_id, bb_ids, count, (row_number() OVER (PARTITION BY selection_id, library_id
         ORDER BY count DESC, bb_ids))::INT AS place FROM scores) WHERE place <= 10""",
+    "top_enriched_many": f"""WITH {TRUTH}, rows AS (SELECT selection_id, library_id, read_id AS bb_ids,
+        CASE WHEN l_orderkey % 11 <> 0 THEN ((l_partkey * 7 + l_orderkey) % 500) / 4 END::DOUBLE AS z_n FROM truth)
+        SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY selection_id, library_id ORDER BY z_n DESC NULLS LAST, bb_ids))::INT AS place FROM rows)
+        WHERE place <= 5000""",
     "top_enriched_overall": f"""WITH {SCORES} SELECT selection_id, library_id, bb_ids, count FROM scores
         ORDER BY z_n DESC, bb_ids, selection_id, library_id LIMIT 25""",
     "attach_building_blocks": f"WITH {COUNTS} SELECT selection_id, library_id, bb_ids, {tag('b1+16')} AS tag1, {tag('b2+64')} AS tag2, {tag('b3+128')} AS tag3 FROM counts",
