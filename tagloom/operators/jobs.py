@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.places import with_place
 from tagloom.functions.text import (
     LOG_COMPLETED,
     LOG_EXITED,
@@ -115,13 +116,16 @@ def bad_timestamps(states: DataFrame) -> DataFrame:
     return states.groupBy("run_id").agg(F.count_if(bad).alias("bad_timestamps"))
 
 
-def order_by_submission(jobs: DataFrame) -> DataFrame:
-    """Jobs by first submission; a re-submitted job keeps its place."""
+def order_by_submission(jobs: DataFrame, place: str | None = None) -> DataFrame:
+    """Jobs by first submission; a re-submitted job keeps its place. `place` names a column that numbers the jobs of a run."""
+    if place:
+        return with_place(jobs, "first_line", group=("run_id",), name=place)
     return jobs.orderBy("run_id", "first_line")
 
 
-def order_by_process(summary: DataFrame) -> DataFrame:
-    return summary.orderBy("process")
+def order_by_process(summary: DataFrame, place: str | None = None) -> DataFrame:
+    """Groups by process name; `place` names a column that numbers them."""
+    return with_place(summary, "process", name=place) if place else summary.orderBy("process")
 
 
 def first_by(df: DataFrame, *order) -> DataFrame:

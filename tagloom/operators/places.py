@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from tagloom.session import is_small, materialize
 
 
+def with_place(rows: DataFrame, *order: str, group: tuple[str, ...] = (), name: str = "place") -> DataFrame:
+    """Add each row's place, from 0 on, in ascending order (nulls first), within its group or the whole table."""
+    placed = running_sums(rows, list(group), [F.col(c).asc_nulls_first() for c in order])
+    return placed.select(*rows.columns, F.col("before").alias(name))
+
+
 def running_sums(rows: DataFrame, group: list[str], order: list[Column], weight: str | None = None) -> DataFrame:
     """Add `before`, the rows (or the sum of `weight`) that stand before a row in its group, and `total`, those of the whole group.
 

@@ -544,3 +544,26 @@ ORACLE_SQL = {
         ((event_id % 2048) / CASE WHEN event_id % 2 = 0 THEN 1024 ELSE 1048576 END)::DOUBLE AS gb, event_type AS name,
         'B' || (event_id % 7) AS status, event_id::VARCHAR AS job_id, 'L' || event_id AS lib, printf('%.3f', value) AS shown FROM events""",
 }
+
+# Tables written and read back hold what they held before.
+ORACLE_SQL |= {
+    "decoded_tsv": ORACLE_SQL["decode_reads"],
+    "counts_parquet": ORACLE_SQL["count_compounds"],
+    "written_tables": ORACLE_SQL["enrichment"],
+    "collected_json": f"WITH {TALLY} SELECT library_id, bb_ids, umi, c FROM tally WHERE selection_id = 'tgt'",
+    "stats_files": f"WITH {DECODED} SELECT selection_id || '_decode_stats.json' AS file, library_id, outcome, count(*)::BIGINT AS n FROM decoded GROUP BY ALL",
+    "job_tables": f"""WITH {JOBS} SELECT job_id, process, coalesce(status, 'SUBMITTED') AS status, coalesce(exit_code, '-') AS exit,
+        coalesce(strftime(make_timestamp(started_ms * 1000), '%Y-%m-%d %H:%M:%S'), '-') AS started,
+        coalesce(strftime(make_timestamp(exited_ms * 1000), '%Y-%m-%d %H:%M:%S'), '-') AS exited, round(duration_min, 6) AS duration_min FROM jobs""",
+    "job_summary_table": f"""WITH {JOBS}, {USAGE} SELECT short AS process, count(*)::VARCHAR AS n, printf('%.2f', avg(wall)) AS avg_wall_min,
+        printf('%.2f', avg(cpu)) AS "avg_cpu_eff_%", printf('%.3f', avg(gb)) AS avg_mem_used_gb, printf('%.2f', avg(eff)) AS "avg_mem_eff_%"
+        FROM jobs LEFT JOIN usage USING (job_id) GROUP BY short""",
+    "ordered_reports": f"""WITH {JOBS}, numbered AS (
+        SELECT run_id || ':' || job_id AS name, run_id, (row_number() OVER (PARTITION BY run_id ORDER BY job_id::BIGINT) - 1)::BIGINT AS place FROM jobs)
+        SELECT 'file' AS what, path AS name, (row_number() OVER (ORDER BY path) - 1)::BIGINT AS place FROM (
+          SELECT DISTINCT 'lane' || (lane + 1) || '_' || c_custkey || '.fastq.gz' AS path FROM customer, range(0, 3) r(lane)
+          WHERE NOT (lane = 1 AND c_custkey % 3 = 0) AND NOT (lane = 2 AND c_custkey % 4 = 0))
+        UNION ALL SELECT 'process', short, (row_number() OVER (ORDER BY short) - 1)::BIGINT FROM (SELECT DISTINCT short FROM jobs)
+        UNION ALL SELECT 'job', name, place FROM numbered
+        UNION ALL SELECT * FROM (SELECT 'first', name, 0::BIGINT FROM numbered WHERE place = 0 ORDER BY run_id LIMIT 1)""",
+}

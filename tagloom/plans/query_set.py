@@ -22,7 +22,7 @@ from tagloom.plans.selection_run import UNLISTED, decode_selections, run
 from tagloom.schemas import SELECTIONS
 from tagloom.session import materialize, new_path
 from tagloom.sources import sinks, tables
-from tagloom.sources.fastq import read_fastq, read_fastq_pairs, with_ordinal
+from tagloom.sources.fastq import order_by_file, read_fastq, read_fastq_pairs, with_ordinal
 from tagloom.sources.selections import selection_files, selections_df, validate_settings
 from tagloom.streaming.incremental import incremental_counts, run_incremental
 
@@ -340,6 +340,78 @@ def enrichment_contrast(spark, sf_dir):
     return E.contrast(Q.derived_counts(spark, sf_dir), "tgt", "ctrl").withColumns(r6("ratio"))
 
 
+def decoded_tsv(spark, sf_dir):
+    path = new_path(spark, "decoded-tsv")
+    sinks.write_decoded(decoded(spark, sf_dir), path)
+    return tables.read_decoded(spark, path)
+
+
+def counts_parquet(spark, sf_dir):
+    path = new_path(spark, "counts-parquet")
+    sinks.write_counts(C.count_compounds(stored_tally(spark, sf_dir)), path)
+    return spark.read.parquet(path).select(*COMPOUND, "count", "raw_count", "dedup_count")
+
+
+def stats_files(spark, sf_dir):
+    """Statistics as JSON files named by selection, read back into rows."""
+    path = new_path(spark, "stats-json")
+    sinks.write_stats_json(sinks.stats_json(S.decode_stats(U.tally_outcomes(decoded(spark, sf_dir)))), path, "decode_stats")
+    found = spark.read.text(path).select(ids.file_name(F.input_file_name()).alias("file"), F.from_json("value", "map<string,map<string,bigint>>").alias("m"))
+    libraries = found.select("file", F.explode("m").alias("library_id", "outcomes"))
+    return libraries.select("file", F.nullif("library_id", F.lit("")).alias("library_id"), F.explode("outcomes").alias("outcome", "n"))
+
+
+def written_tables(spark, sf_dir):
+    """The deduplicated counts and their scores, from the files that a run leaves."""
+    path = new_path(spark, "tables")
+    sinks.write_table(C.deduplicate(Q.derived_counts(spark, sf_dir)), f"{path}/deduplicated.parquet")
+    counts = tables.read_counts(spark, f"{path}/deduplicated.parquet")
+    sinks.write_table(E.enrichment(counts, d.derived_building_blocks(spark, sf_dir)), f"{path}/enrichment.parquet")
+    scores = spark.read.parquet(f"{path}/enrichment.parquet")
+    return scores.select(*COMPOUND, "count", "total", "diversity", *[c.alias(n) for n, c in r6("fold", "z_n", "z_low", "z_high").items()])
+
+
+def collected_json(spark, sf_dir):
+    texts = sinks.collected_to_json(U.collect_umis(stored_tally(spark, sf_dir)).filter("selection_id = 'tgt'"))
+    return U.explode_collected(sinks.collected_from_json(texts))
+
+
+def run_jobs(spark, sf_dir) -> DataFrame:
+    return materialize(J.job_records(tables.read_run_log(spark, Q.log_folder(spark, sf_dir))), "jobs")
+
+
+def job_tables(spark, sf_dir):
+    """The job table as the CSV file of a report, read back as text but for the duration."""
+    jobs = run_jobs(spark, sf_dir)
+    usage = tables.read_usage_text(spark, Q.usage_folder(spark, sf_dir))
+    path = new_path(spark, "report")
+    sinks.write_job_tables(jobs, J.job_summary(jobs, usage), f"{path}/jobs.csv")
+    rows = spark.read.csv(f"{path}/jobs.csv", header=True)
+    return rows.select("job_id", "process", "status", "exit", "started", "exited", F.expr("round(try_cast(`dur(min)` AS double), 6)").alias("duration_min"))
+
+
+def job_summary_table(spark, sf_dir):
+    """The summary CSV with its own heads and number formats."""
+    jobs = run_jobs(spark, sf_dir)
+    path = new_path(spark, "report")
+    sinks.write_job_tables(jobs, J.job_summary(jobs, tables.read_usage_text(spark, Q.usage_folder(spark, sf_dir))), f"{path}/jobs.csv")
+    return spark.read.csv(f"{path}/jobs_summary.csv", header=True).select("process", "n", "avg_wall_min", "avg_cpu_eff_%", "avg_mem_used_gb", "avg_mem_eff_%")
+
+
+def ordered_reports(spark, sf_dir):
+    """Files by name, processes by name, jobs of a run by submission, and the first job of all: what, name, place."""
+    jobs = run_jobs(spark, sf_dir).withColumn("run_id", ids.file_name("run_id"))
+    files = order_by_file(selection_files(selections(spark, sf_dir)).select("path").distinct(), "place")
+    name = F.concat_ws(":", "run_id", "job_id")
+    parts = [
+        files.select(F.lit("file").alias("what"), F.col("path").alias("name"), "place"),
+        J.order_by_process(J.job_summary(jobs), "place").select(F.lit("process"), "process", "place"),
+        J.order_by_submission(jobs, "place").select(F.lit("job"), name, "place"),
+        J.first_by(jobs, "run_id", "first_line").select(F.lit("first"), name, F.lit(0).cast("bigint")),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 def enrichment_rank(spark, sf_dir):
     scores = E.enrichment(Q.derived_counts(spark, sf_dir), d.derived_building_blocks(spark, sf_dir))
     ranked = E.rank_enrichment(scores).withColumns(r6("percent_rank"))
@@ -558,6 +630,14 @@ QUERIES = {
     "enrichment": enrichment,
     "synthon_enrichment": synthon_enrichment,
     "enrichment_contrast": enrichment_contrast,
+    "decoded_tsv": decoded_tsv,
+    "counts_parquet": counts_parquet,
+    "stats_files": stats_files,
+    "written_tables": written_tables,
+    "collected_json": collected_json,
+    "job_tables": job_tables,
+    "job_summary_table": job_summary_table,
+    "ordered_reports": ordered_reports,
     "enrichment_rank": enrichment_rank,
     "top_enriched": top_enriched,
     "top_enriched_many": top_enriched_many,

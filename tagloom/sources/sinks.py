@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.ids import output_prefix
 from tagloom.functions.text import fmt_float
+from tagloom.schemas import COLLECTED
 from tagloom.sources.named_files import write_named_lines
 
 
@@ -39,6 +40,11 @@ def collected_to_json(collected: DataFrame) -> DataFrame:
     )
 
 
+def collected_from_json(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Collected compounds from their JSON texts, one compound a text; a text that is no such object gives nulls."""
+    return texts.select(F.from_json(column, COLLECTED).alias("c")).select("c.*")
+
+
 def write_collected(collected: DataFrame, path: str) -> None:
     """NDJSON, one folder per selection when there is a selection column."""
     body = ["library_id", "bb_ids", "umi_counts"]
@@ -161,8 +167,8 @@ def summary_path(path: str) -> str:
     return f"{stem}_summary.{ext}" if dot and "/" not in ext else f"{path}_summary.csv"
 
 
-def job_cells(jobs: DataFrame) -> DataFrame:
-    """Job records as text cells, '-' for what is missing."""
+def job_cells(jobs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Job records as text cells, '-' for what is missing; columns of `keep` stay as they are."""
     utc = lambda c: F.convert_timezone(None, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
     stamp = lambda c: F.coalesce(F.date_format(utc(c), "yyyy-MM-dd HH:mm:ss"), F.lit("-"))
     dash = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
@@ -176,26 +182,43 @@ def job_cells(jobs: DataFrame) -> DataFrame:
         stamp("exited").alias("exited"),
         dash("duration_min").alias("dur(min)"),
         *[dash(c).alias(c) for c in usage],
+        *keep,
     )
 
 
-def summary_cells(summary: DataFrame) -> DataFrame:
-    """Summary as text cells; memory with three decimals, other numbers with two."""
+def summary_cells(summary: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Summary as text cells; memory with three decimals, other numbers with two. Shares are headed by a percent sign."""
     out = []
     for name, kind in summary.dtypes:
-        if kind == "double":
-            out.append(fmt_float(name, 3 if "gb" in name else 2).alias(name))
+        head = name.removesuffix("pct") + "%" if name.endswith("_pct") else name
+        if name in keep:
+            out.append(F.col(name))
+        elif kind == "double":
+            out.append(fmt_float(name, 3 if "gb" in name else 2).alias(head))
         else:
-            out.append(F.coalesce(F.col(name).cast("string"), F.lit("-")).alias(name))
+            out.append(F.coalesce(F.col(name).cast("string"), F.lit("-")).alias(head))
     return summary.select(*out)
 
 
 def write_job_tables(jobs: DataFrame, summary: DataFrame, path: str) -> None:
-    """Job table and summary as CSV with header, at `path` and its summary name."""
-    order = ["first_line"] if "first_line" in jobs.columns else ["job_id"]
-    run = ["run_id"] if "run_id" in jobs.columns else []
-    cells = job_cells(jobs.orderBy(*run, *order))
-    _mode(cells).csv(path, header=True)
-    _mode(summary_cells(summary.orderBy("process"))).csv(summary_path(path), header=True)
+    """Job table and summary as one CSV file each, with header, at `path` and its summary name."""
+    order = [c for c in ("run_id", "first_line") if c in jobs.columns] or ["job_id"]
+    keys = F.struct(*[F.col(c) for c in order])
+    _write_csv(jobs.withColumn("key__", keys), job_cells, path)
+    _write_csv(summary.withColumn("key__", F.struct("process")), summary_cells, summary_path(path))
+
+
+def _write_csv(rows: DataFrame, cells, path: str) -> None:
+    """One CSV file of text cells in the order of `key__`; its rows are streamed through the task that writes it."""
+    folder, _, name = path.rpartition("/")
+    text = cells(rows.drop("key__"))
+    columns = text.columns
+    line = F.concat_ws(",", *[csv_cell(F.col(f"c.`{c}`")) for c in columns])
+    body = cells(rows, keep=("key__",)).select(F.lit(name).alias("file"), F.lit(1).alias("part"), "key__", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("c"))
+    body = body.select("file", "part", "key__", line.alias("value"))
+    head = rows.sparkSession.range(1).select(
+        F.lit(name).alias("file"), F.lit(0).alias("part"), F.lit(None).cast(body.schema["key__"].dataType).alias("key__"), F.lit(",".join(columns)).alias("value")
+    )
+    write_named_lines(head.unionByName(body), folder or ".", "file", "value", ["part", "key__"])
 
 

@@ -50,6 +50,11 @@ def read_collected(spark: SparkSession, path: str | list[str], selection_id: str
     return df.select(F.lit(selection_id).alias("selection_id"), *schemas.COLLECTED.names)
 
 
+def read_decoded(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Decoded reads from their tab-separated text."""
+    return spark.read.schema(schemas.DECODED).option("sep", "\t").csv(path, header=True)
+
+
 def read_vendor_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Vendor library tables, one file per library; the header of column 5 is the library tag.
 
