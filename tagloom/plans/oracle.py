@@ -228,7 +228,7 @@ jobs AS (
   SELECT *, CASE WHEN exited_ms >= started_ms THEN printf('%.2f', (exited_ms - started_ms) / 60000::DOUBLE)::DOUBLE END AS duration_min FROM raw)"""
 
 USAGE = """
-seconds AS (SELECT event_id, floor(value * 10)::BIGINT AS sec FROM events WHERE event_id % 3 <> 0),
+seconds AS (SELECT event_id, floor(value * 10)::BIGINT AS sec FROM events),
 usage AS (
   SELECT event_id::VARCHAR AS job_id,
     CASE WHEN event_id % 11 = 0 THEN '1-' ELSE '' END || lpad((sec // 3600)::VARCHAR, 2, '0') || ':' || lpad((sec // 60 % 60)::VARCHAR, 2, '0')

@@ -516,15 +516,13 @@ def job_records(spark, sf_dir) -> DataFrame:
 
 
 def job_summary(spark, sf_dir):
-    requested = (
-        d.table(spark, sf_dir, "nation")
-        .filter("n_nationkey < 3")
-        .select(
-            F.element_at(F.array(F.lit("__default__"), F.lit("DecodeChunk|Report"), F.lit("CONCAT")), F.col("n_nationkey").cast("int") + 1).alias("process"),
-            F.when(F.col("n_nationkey") == 0, "1").when(F.col("n_nationkey") == 2, "4").alias("cpus"),
-            F.when(F.col("n_nationkey") < 2, F.concat(F.col("n_nationkey") * 4 + 4, F.lit(" GB"))).alias("memory"),
-            F.when(F.col("n_nationkey") != 1, F.concat(F.col("n_nationkey") + 1, F.lit("h"))).alias("time"),
-        )
+    key = F.col("n_nationkey")
+    known = F.when(key == 0, "__default__").when(key == 1, "DecodeChunk|Report").when(key == 2, "CONCAT")
+    requested = d.table(spark, sf_dir, "nation").select(
+        F.coalesce(known, "n_name").alias("process"),
+        F.when(key == 0, "1").when(key != 1, "4").alias("cpus"),
+        F.when(key != 2, F.concat(key * 4 + 4, F.lit(" GB"))).alias("memory"),
+        F.when(key != 1, F.concat(key + 1, F.lit("h"))).alias("time"),
     )
     jobs = J.job_records(tables.read_run_log(spark, Q.log_folder(spark, sf_dir)))
     return J.job_summary(jobs, requested=requested).withColumns(r6("avg_dur_min", "sem_dur_min"))
