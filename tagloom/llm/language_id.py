@@ -23,6 +23,17 @@ SAMPLE_WINDOWS = 3
 STEPS = 500
 BATCH = 96
 NO_LANGUAGE = "und"
+# What a to z are exchanged for in texts of no language: other Latin letters, Cyrillic, Greek, Arabic, kana.
+STRANGE_LETTERS = [
+    "qwertyuiopasdfghjklzxcvbnm",
+    "zyxwvutsrqponmlkjihgfedcba",
+    "nopqrstuvwxyzabcdefghijklm",
+    "абвгдежзийклмнопрстуфхцчшщ",
+    "оеаинтсрвлкмдпуяыьгзбчйхжш",
+    "αβγδεζηθικλμνξοπρστυφχψωάέ",
+    "ابتثجحخدذرزسشصضطظعغفقكلمنه",
+    "あいうえおかきくけこさしすせそたちつてとなにぬねのは",
+]
 # Windows put through the network at a time.
 _RUN = 512
 
@@ -197,9 +208,26 @@ def sample_windows(labelled: DataFrame, texts: int = SAMPLE_TEXTS) -> tuple[np.n
     return windows, [r["label"] for r in got]
 
 
-def fit_language_id(labelled: DataFrame, seed: int = 7) -> ByteNetwork | None:
-    """A network for the labels of (key, text, label), or None without labelled text."""
+def no_language(labelled: DataFrame) -> DataFrame:
+    """Texts of no language of the table, one from each labelled text: its letters exchanged for others of the same or
+    another script (`STRANGE_LETTERS`), or letters drawn from a hash of it. Their label is NO_LANGUAGE."""
+    text, which = F.lower("text"), F.pmod(F.xxhash64("text"), F.lit(len(STRANGE_LETTERS) + 2))
+    digits = F.concat(*[F.sha2(F.concat(F.lit(str(i)), "text"), 256) for i in range(6)])
+    drawn = F.regexp_replace(F.translate(digits, "0123456789abcdef", "kqaeztrnbiupsodl"), "(.{3,8}?[abk])", "$1 ")
+    strange = drawn
+    for i, letters in enumerate(STRANGE_LETTERS):
+        strange = F.when(which == i, F.translate(text, "abcdefghijklmnopqrstuvwxyz", letters)).otherwise(strange)
+    return labelled.filter("label IS NOT NULL AND text IS NOT NULL").select("key", strange.alias("text"), F.lit(NO_LANGUAGE).alias("label"))
+
+
+def fit_language_id(labelled: DataFrame, seed: int = 7, reject: bool = False) -> ByteNetwork | None:
+    """A network for the labels of (key, text, label), or None without labelled text.
+
+    With `reject` it also learns NO_LANGUAGE, from texts made of the labelled ones, and can give that for an answer.
+    """
     rows = labelled.filter("label IS NOT NULL AND text IS NOT NULL")
+    if reject:
+        rows = rows.select("key", "text", "label").unionByName(no_language(labelled))
     windows, labels = sample_windows(rows)
     return train(windows, labels, seed) if len(windows) else None
 
