@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import time
 
+from pyspark.sql import functions as F
+
 from tagloom import derived as d
 from tagloom.operators import counts as C
 from tagloom.operators import enrich as E
@@ -18,11 +21,15 @@ from tagloom.operators import stats as S
 from tagloom.operators import umi as U
 from tagloom.operators import vendor as V
 from tagloom.operators.decode import DecodeSettings, decode, prepare_tables
+from tagloom.operators.decode_groups import decode_groups, prepare_groups
+from tagloom.operators.indel_search import search_indels
 from tagloom.operators.layout import build_library_sections
 from tagloom.plans import query_inputs as Q
+from tagloom.plans.selection_run import UNLISTED
 from tagloom.session import local_session, materialize
 from tagloom.sources import tables
-from tagloom.sources.fastq import read_fastq, with_ordinal
+from tagloom.sources.fastq import read_fastq, read_fastq_pairs, with_ordinal
+from tagloom.sources.selections import selections_df
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -71,8 +78,25 @@ def main() -> None:
     search = DecodeSettings.of(revcomp="BOTH", demultiplexer_algorithm="cutadapt")
     search_tables = prepare_tables(sections, blocks, search)
     clock("decode_search", lambda: discard(decode(reads, settings=search, tables=search_tables)))
+    # Three tags of 20 bases and a thousand, none of which the reads hold: every read stays open and is searched to its end.
+    none = F.lit(None)
+    open_reads = reads.withColumns({"strand": F.lit("+"), "library_id": none.cast("string"), "lib_pos": none.cast("int"), "lib_mismatches": none.cast("int")})
+    rng = random.Random(1)
+    tags = [(f"T{i}", "".join(rng.choice("ACGT") for _ in range(20))) for i in range(1000)]
+    for n in (3, 1000):
+        some = spark.createDataFrame(tags[:n], "library_id string, tag string")
+        clock(f"search_indels_{n}", lambda: discard(search_indels(open_reads, some, ["+", "-"])))  # noqa: B023
+    indels = DecodeSettings.of(revcomp="BOTH", library_indels="YES", section_indels="YES")
+    clock("decode_indels", lambda: discard(decode(reads, settings=indels, tables=lookups)))
+    listed = [{"selection_id": f"s{k}", "decode_settings": {"revcomp": ["BOTH", "YES", "NO"][k % 3], "wiggle": ["YES", "NO"][k // 3 % 2], "library_error_tolerance": k // 6 % 3, "min_library_overlap": 8 + k // 18}} for k in range(54)]
+    groups = clock("prepare_groups", lambda: prepare_groups(selections_df(spark, listed), sections, blocks))
+    spread = materialize(reads.withColumn("selection_id", F.concat(F.lit("s"), F.pmod(F.xxhash64("read_id"), F.lit(54)))), "spread")
+    clock("decode_selections", lambda: discard(decode_groups(spread, groups, UNLISTED)))
+    clock("top_enriched_many", lambda: discard(E.top_enriched(E.enrichment(counts, blocks), 5000)))
     clock("fastq_scan", lambda: discard(read_fastq(spark, lanes, range_bytes=8 << 20)))
     clock("fastq_ordinal", lambda: discard(with_ordinal(read_fastq(spark, lanes, with_position=True, range_bytes=8 << 20))))
+    mates = [[Q.write_lanes(side, "mate")] for side in (r1, r2)]
+    clock("read_fastq_pairs", lambda: discard(read_fastq_pairs(spark, *mates, "run", range_bytes=8 << 20)))
     clock("pair_merge", lambda: discard(P.merge_pairs(P.pair_reads(r1, r2, by="read_id"))))
     clock("read_filter", lambda: discard(P.filter_reads(noisy)))
     clock("read_qc", lambda: discard(P.read_qc(noisy, P.filter_reads(noisy))))

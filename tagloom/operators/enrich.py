@@ -147,7 +147,8 @@ def contrast(counts: DataFrame, target_id: str, control_id: str, pseudo: float =
 def score_ranks(scores: DataFrame, by: str) -> DataFrame:
     """(selection, library, score) with `before`, the rows of a better score in the library, `total`, all of them, and `n`."""
     per_score = scores.groupBy(*LIBRARY, by).agg(F.count(F.lit(1)).alias("n"))
-    return materialize(running_sums(per_score, LIBRARY, [F.col(by).desc_nulls_last()], "n"), "score-ranks")
+    ranks = running_sums(per_score, LIBRARY, [F.col(by).desc_nulls_last()], "n")
+    return materialize(ranks.withColumnsRenamed({"before__": "before", "total__": "total"}), "score-ranks")
 
 
 def rank_enrichment(scores: DataFrame, by: str = "z_n") -> DataFrame:
@@ -197,4 +198,4 @@ def top_enriched(scores: DataFrame, k: int, per_library: bool = True, by: str =
     enough = F.col("__nulls") | (F.col(by) >= F.col("__cut"))
     best = scores.join(sized_broadcast(cuts), [*same, enough]).select(*scores.columns)
     ranked = running_sums(best, LIBRARY, order)
-    return ranked.filter(F.col("before") < k).select(*scores.columns, (F.col("before") + 1).cast("int").alias("place"))
+    return ranked.filter(F.col("before__") < k).select(*scores.columns, (F.col("before__") + 1).cast("int").alias("place"))

@@ -11,11 +11,11 @@ from tagloom.session import is_small, materialize
 def with_place(rows: DataFrame, *order: str, group: tuple[str, ...] = (), name: str = "place") -> DataFrame:
     """Add each row's place, from 0 on, in ascending order (nulls first), within its group or the whole table."""
     placed = running_sums(rows, list(group), [F.col(c).asc_nulls_first() for c in order])
-    return placed.select(*rows.columns, F.col("before").alias(name))
+    return placed.select(*rows.columns, F.col("before__").alias(name))
 
 
 def running_sums(rows: DataFrame, group: list[str], order: list[Column], weight: str | None = None) -> DataFrame:
-    """Add `before`, the rows (or the sum of `weight`) that stand before a row in its group, and `total`, those of the whole group.
+    """Add `before__`, the rows (or the sum of `weight`) that stand before a row in its group, and `total__`, those of the whole group.
 
     Rows are dealt by ranges of group and order, so a hot group reaches over many tasks. A window sees the rows of one
     group in one of these ranges, then one row for each range that a group reaches into. A null group is a group.
@@ -33,7 +33,7 @@ def running_sums(rows: DataFrame, group: list[str], order: list[Column], weight:
         F.col("range__").alias("own__"),
         "first__",
         F.coalesce(F.sum("sum__").over(earlier), F.lit(0)).alias("earlier__"),
-        F.sum("sum__").over(whole).alias("total"),
+        F.sum("sum__").over(whole).alias("total__"),
     )
     if weight is None:
         inside = F.col("at__") - F.col("first__")
@@ -44,4 +44,4 @@ def running_sums(rows: DataFrame, group: list[str], order: list[Column], weight:
     offsets = materialize(offsets, "range-offsets")
     same = [F.col(c).eqNullSafe(F.col(f"{c}__")) for c in group] + [F.col("range__") == F.col("own__")]
     joined = local.join(F.broadcast(offsets) if is_small(offsets) else offsets, same)
-    return joined.select(*rows.columns, (F.col("earlier__") + inside).alias("before"), "total")
+    return joined.select(*rows.columns, (F.col("earlier__") + inside).alias("before__"), "total__")

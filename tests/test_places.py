@@ -37,7 +37,7 @@ def test_running_sums(spark, many_ranges, weight):
     for r in got:
         group = [x for x in rows if x[:2] == (r.selection_id, r.library_id)]
         value = lambda x: 1 if weight is None else x[4]
-        assert r.total == sum(map(value, group)) and r.before == sum(value(x) for x in group if x[2] < r.bb_ids)
+        assert r.total__ == sum(map(value, group)) and r.before__ == sum(value(x) for x in group if x[2] < r.bb_ids)
 
 
 def test_ranks_with_ties_and_nulls(spark, many_ranges):
@@ -53,7 +53,7 @@ def test_ranks_with_ties_and_nulls(spark, many_ranges):
 
 @pytest.mark.parametrize("k", [1, 7, 60, 5000])
 def test_top_rows_by_a_cut_score_equal_those_of_a_window(spark, many_ranges, monkeypatch, k):
-    df = spark.createDataFrame(table(3), SCHEMA)
+    df = spark.createDataFrame(table(3), SCHEMA).withColumns({"total": F.lit(1), "before": F.lit(2)})
     want = sorted(map(repr, enrich.top_enriched(df, k).collect())) if k < enrich.WINDOW_LIMIT else None
     monkeypatch.setattr(enrich, "WINDOW_LIMIT", 0)
     got = enrich.top_enriched(df, k)
