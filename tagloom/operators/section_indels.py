@@ -28,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 INDEX_ENTRIES = 500_000
 # Open reads of one library that meet its tags in one task.
 READS_PER_TASK = 200_000
+# Windows that the index of a library remembers in a task, at most.
+SEEN_WINDOWS = 50_000
 COMPLEMENT = str.maketrans("ACGT", "TGCA")
 
 
@@ -40,12 +42,25 @@ def deletions(text: str, most: int) -> Iterator[str]:
 
 
 def edit_distance(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, start=1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, start=1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Bit-parallel (Myers 1999, Hyyro 2003): a column of the table is two integers."""
+    if a == b or not a:
+        return len(b) if not a else 0
+    masks: dict[str, int] = {}
+    for i, x in enumerate(a):
+        masks[x] = masks.get(x, 0) | 1 << i
+    full, last, distance = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
+    up, down = full, 0
+    for y in b:
+        eq = masks.get(y, 0)
+        diagonal = (((eq & up) + up) ^ up) | eq | down
+        right, left = down | ~(diagonal | up), up & diagonal
+        if right & last:
+            distance += 1
+        elif left & last:
+            distance -= 1
+        right = right << 1 | 1
+        up, down = (left << 1 | ~(diagonal | right)) & full, right & diagonal & full
+    return distance
 
 
 class SectionIndex:
@@ -54,6 +69,7 @@ class SectionIndex:
     def __init__(self, rows: list[tuple[int, int, str, int]]):
         self.forms: dict[int, dict[str, list[tuple[int, str]]]] = {}
         self.allowed: dict[int, int] = {}
+        self.seen: dict[tuple[int, str], list[tuple[int, int]]] = {}
         for cycle, number, tag, allowed in rows:
             self.allowed[cycle] = allowed
             forms = self.forms.setdefault(cycle, {})
@@ -61,10 +77,16 @@ class SectionIndex:
                 forms.setdefault(form, []).append((number, tag))
 
     def near(self, cycle: int, window: str) -> list[tuple[int, int]]:
-        """(distance, id) of the tags within the allowed distance of the window."""
+        """(distance, id) of the tags within the allowed distance of the window. Windows met before are remembered."""
+        known = self.seen.get((cycle, window))
+        if known is not None:
+            return known
         most, forms = self.allowed[cycle], self.forms[cycle]
         tags = {found for form in set(deletions(window, most)) for found in forms.get(form, ())}
-        return [(d, number) for number, tag in tags if (d := edit_distance(tag, window)) <= most]
+        if len(self.seen) >= SEEN_WINDOWS:
+            self.seen.clear()
+        found = self.seen[cycle, window] = [(d, number) for number, tag in tags if (d := edit_distance(tag, window)) <= most]
+        return found
 
 
 def walk(seq: str, lib_pos: int, surplus: int, sections: list[tuple[int, int, int]], calls: dict, index: SectionIndex, shifts: tuple[int, ...]) -> None:
