@@ -84,6 +84,8 @@ def test_derived_tags_are_those_written_letter_by_letter(spark):
     x = F.col("id")
     numbers = spark.range(-600, 600)
     assert numbers.filter(~d.tag(x).eqNullSafe(F.repeat(d.dna(x, 4), F.lit(3)))).count() == 0
+    none = numbers.select(F.nullif("id", F.col("id")).alias("id"))
+    assert none.select(F.concat(F.lit("A"), d.tag(x), d.umi(x)).alias("t")).filter("t IS NOT NULL").count() == 0
     near = numbers.filter("abs(id) < 40")
     assert near.filter(~d.umi(x).eqNullSafe(F.repeat(d.dna(x * 5 + 3, 6), F.lit(2)))).count() == 0
 
