@@ -53,7 +53,7 @@ def main() -> None:
     n_reads, length = reads.count(), reads.selectExpr("avg(length(seq))").first()[0]
     noisy = materialize(d.noisy_reads(spark, SF_DIR), "noisy")
     r1, r2 = [materialize(side, "mate") for side in d.derived_pairs(spark, SF_DIR)]
-    lanes = Q.write_lanes(d.derived_reads(spark, SF_DIR), "lanes")
+    lanes = Q.write_lanes(d.read_lines(spark, SF_DIR), d.reads_of, "lanes")
     sections = materialize(build_library_sections(d.derived_library_tags(spark, SF_DIR), d.CONFIG), "sections")
     blocks = materialize(d.derived_building_blocks(spark, SF_DIR), "blocks")
     vendor, log, usage = Q.vendor_folder(spark, SF_DIR), Q.log_folder(spark, SF_DIR), Q.usage_folder(spark, SF_DIR)
