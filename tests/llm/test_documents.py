@@ -3,6 +3,7 @@
 import collections
 import random
 import string
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -89,6 +90,34 @@ def test_class_probabilities_sum_to_one():
     assert np.allclose(np.exp(model.log_classes(features)).sum(1), 1, atol=1e-5)
 
 
+def test_histories_rank_words_within_a_class(spark):
+    """Words of one ending are of one class; north and south come equally often, after other words."""
+    texts = [t for k in range(300) for t in (f"we go north and n{k}", f"they come south but s{k}")]
+    held = [i for i in range(9000, 9100) if crc32(str(i).encode()) % 7 == 2][:5]
+    learned = [i for i in range(9000) if crc32(str(i).encode()) % 7 != 2][: len(texts)]
+    asked = ["we go north", "we go south", "they come north", "they come south", "unseen go north"]
+    docs = spark.createDataFrame([*zip(learned, texts), *zip(held, asked)], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in lm_score.score_texts(docs).collect()}
+    north, south, far, near, unseen = (score[i] for i in held)
+    assert north > south + 0.1 and near > far + 0.1 and unseen < north
+
+
+def test_word_probabilities_of_a_class_sum_to_one():
+    rng = np.random.default_rng(5)
+    words = np.unique(rng.integers(1, 1 << 63, 300).astype(np.uint64))
+    target, count = rng.integers(1, lm_score.CLASSES, len(words)), rng.integers(1, 50, len(words))
+    leaf = lm_score.leaves_of(words, 5)
+    mass = np.zeros((lm_score.CLASSES, 32))
+    np.add.at(mass, (target, leaf), count + 1.0)
+    tree = lm_score.WordTree.of(mass, 14)
+    tree.weights[:] = rng.normal(0, 1, len(tree.weights))
+    histories = [np.full(len(words), h, np.uint64) for h in rng.integers(1, 1 << 63, lm_score.FEATURES)]
+    gain = np.exp(tree.log_gain(histories, target, leaf))
+    share = (count + 1) / mass.sum(axis=1)[target]
+    assert np.ptp(gain) > 0.1
+    assert np.allclose(np.bincount(target, weights=share * gain, minlength=lm_score.CLASSES)[np.unique(target)], 1, atol=1e-4)
+
+
 def test_set_join(spark, docs, rows, empty):
     cases.same_rows([tuple(r) for r in set_join.near_duplicates(docs).collect()], cases.components(rows))
     assert set_join.near_duplicates(empty).collect() == []
