@@ -40,8 +40,12 @@ def library_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return sections, blocks
 
 
+def decode_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return Q.staged_reads(spark, sf_dir), *library_tables(spark, sf_dir)
+
+
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(Q.staged_reads(spark, sf_dir), *library_tables(spark, sf_dir), BOTH)
+    return decode(*decode_inputs(spark, sf_dir), BOTH)
 
 
 def stored_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,9 +306,10 @@ def run_counts(spark, sf_dir):
 def unlisted_selections(spark, sf_dir):
     """Outcomes of a run that lists one of two selections, with all libraries."""
     listed = selections_df(spark, [{"selection_id": "tgt", "decode_settings": {"revcomp": "BOTH"}}])
-    found = decode_selections(Q.staged_reads(spark, sf_dir), listed, *library_tables(spark, sf_dir))
-    stats = materialize(S.decode_stats(found), "stats")
-    reads = S.decode_summary(stored_tally(spark, sf_dir).limit(0).selectExpr("*", "c AS count", "c AS raw_count", "c AS dedup_count"), stats, None)
+    inputs = decode_inputs(spark, sf_dir)  # stored once for both calls
+    stats = materialize(S.decode_stats(decode_selections(inputs[0], listed, *inputs[1:])), "stats")
+    tally = materialize(U.tally_umis(decode(*inputs, BOTH)), "tally")
+    reads = S.decode_summary(tally.limit(0).selectExpr("*", "c AS count", "c AS raw_count", "c AS dedup_count"), stats, None)
     return reads.filter("level = 'total'").select("selection_id", "ok", UNLISTED, "reads")
 
 
