@@ -9,6 +9,7 @@ share one unit of a class, so all sums are known exactly. Words are 64-bit hashe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.texts import HashIndex, located_words, mix64, text_parts
+from tagloom.llm.texts import LOWER, HashIndex, located_words, mix64, text_parts
 from tagloom.session import materialize
 
 # Spelling groups of words (by their last two bytes), clustered into classes by what they stand beside. Group and
@@ -43,6 +44,13 @@ COMMON = 1 << 20
 # Tokens gathered in a task before they are handed on, and words in a bucket of the counts, about.
 FLUSH_TOKENS = 1 << 21
 BUCKET_WORDS = 1 << 18
+# Bytes of training text whose sums one task adds up, about, and tokens between additions to its exact sums.
+GRADIENT_BYTES = 128 << 20
+EXACT_TOKENS = 1 << 20
+# Tokens that go through the softmax over the classes at a time.
+CLASS_BLOCK = 1 << 13
+# Arrays that are added up in one group; more are added in two steps.
+ONE_STEP = 16
 END = 0x5851F42D4C957F2D
 _CHUNKS = 16
 
@@ -55,9 +63,8 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     """Tokens of a run of texts, an end after each text: hash, spelling group, row."""
     words, row, _, ends = located_words(data, offsets)
     rows = len(offsets) - 1
-    lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64)
-    last = lower[ends - 1] if len(ends) else np.zeros(0, np.uint64)
-    before = np.where(ends >= 2, lower[ends - 2], 0) if len(ends) else last
+    last = LOWER[data[ends - 1]].astype(np.uint64) if len(ends) else np.zeros(0, np.uint64)
+    before = np.where(ends >= 2, LOWER[data[ends - 2]], 0).astype(np.uint64) if len(ends) else last
     group = (1 + mix64(last * np.uint64(256) + before) % np.uint64(GROUPS - 1)).astype(np.int64)
     n = np.bincount(row, minlength=rows)
     place = np.arange(len(words)) + row
@@ -94,11 +101,6 @@ def leaves_of(token: np.ndarray, levels: int) -> np.ndarray:
     return (mix64(token ^ np.uint64(0x3C6EF372FE94F82B)) >> np.uint64(64 - levels)).astype(np.int64)
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
 @dataclass
 class ClassModel:
     """Weights of the class softmax, the class of each spelling group, and the size of each class's own softmax."""
@@ -108,11 +110,38 @@ class ClassModel:
     classes: np.ndarray
     log_sizes: np.ndarray
 
+    def sums(self, features: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """By block of tokens: the first one, and by class and token the sums of weights below the largest, their exponentials, and the sum of these."""
+        for lo in range(0, features.shape[1], CLASS_BLOCK):
+            z = self.weights.take(features[0, lo : lo + CLASS_BLOCK], axis=0, mode="clip")
+            for f in features[1:, lo : lo + CLASS_BLOCK]:
+                z += self.weights.take(f, axis=0, mode="clip")
+            z += self.bias
+            z = np.ascontiguousarray(z.T)
+            z -= z.max(axis=0)
+            e = np.exp(z)
+            yield lo, z, e, e.sum(axis=0)
+
     def log_classes(self, features: np.ndarray) -> np.ndarray:
-        z = self.bias + self.weights[features[0]]
-        for f in features[1:]:
-            z += self.weights[f]
-        return log_softmax(z)
+        """Natural logarithms of the probabilities of all classes, by token."""
+        return np.concatenate([np.zeros((0, CLASSES), np.float32), *((z - np.log(total)).T for _, z, _, total in self.sums(features))])
+
+    def log_targets(self, features: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The same of each token's own class."""
+        out = np.zeros(len(target))
+        for lo, z, _, total in self.sums(features):
+            n = z.shape[1]
+            out[lo : lo + n] = z[target[lo : lo + n], np.arange(n)] - np.log(total)
+        return out
+
+    def add_expected(self, features: np.ndarray, sums: np.ndarray) -> None:
+        """Add the probabilities of the classes to each token's buckets; `sums` is by class and bucket."""
+        for lo, z, e, total in self.sums(features):
+            p = (e / total).astype(np.float64)
+            for j, f in enumerate(features[:, lo : lo + z.shape[1]]):
+                own = f - j * BUCKETS
+                for c in range(CLASSES):
+                    sums[c, j * BUCKETS : (j + 1) * BUCKETS] += np.bincount(own, p[c], BUCKETS)
 
 
 @dataclass
@@ -154,10 +183,10 @@ class WordTree:
                     first = [((((h ^ key) * np.uint64(0x9E3779B97F4A7C15)) >> shift) << np.uint64(NEAR_LEVELS)).view(np.int64) for h in block]
                 place = (1 << near) + (above & ((1 << near) - 1))
                 cells = [f + place for f in first]
-                z = self.weights.take(cells[0])
+                z = self.weights.take(cells[0], mode="clip")
                 for cell in cells[1:]:
-                    z += self.weights.take(cell)
-                yield lo, (last >> (self.levels - 1 - level)) & 1, self.prior.take(node), z, cells
+                    z += self.weights.take(cell, mode="clip")
+                yield lo, (last >> (self.levels - 1 - level)) & 1, self.prior.take(node, mode="clip"), z, cells
 
     def log_gain(self, histories: list[np.ndarray], target: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         """Natural logarithm of each token's probability within its class over that by counts alone."""
@@ -171,14 +200,15 @@ class WordTree:
         for _, branch, prior, z, cells in self.decisions(histories, target, leaf):
             up = prior * np.exp(z)
             p = up / (up + (1 - prior))
-            both = np.empty(len(p), np.complex128)
+            both = np.empty(len(p), sums.dtype)
             both.real, both.imag = branch - p, p * (1 - p)
             for cell in cells:
                 np.add.at(sums, cell, both)
 
 
-def sum_arrays(parts: DataFrame, number: type = np.float64) -> list[np.ndarray]:
-    """Element-wise sums of arrays, as rows (chunk, salt, values), by chunk: in two steps, so no group holds one array per task."""
+def sum_arrays(parts: DataFrame, tasks: int, number: type = np.float64) -> list[np.ndarray]:
+    """Element-wise sums of the arrays of so many tasks, as rows (chunk, salt, values), by chunk. Many are added in two steps, so
+    that no group holds one array per task; few would only be written once more."""
 
     def add(group: pa.Table) -> pa.Table:
         values = group.column("values").to_pylist()
@@ -188,8 +218,9 @@ def sum_arrays(parts: DataFrame, number: type = np.float64) -> list[np.ndarray]:
         return pa.table({"chunk": group.column("chunk")[:1], "salt": group.column("salt")[:1], "values": pa.array([total.astype(number).tobytes()], pa.binary())})
 
     kind = "chunk int, salt int, values binary"
-    once = parts.groupBy("chunk", "salt").applyInArrow(add, kind)
-    rows = once.groupBy("chunk").applyInArrow(add, kind).collect()
+    if tasks > ONE_STEP:
+        parts = parts.groupBy("chunk", "salt").applyInArrow(add, kind)
+    rows = parts.groupBy("chunk").applyInArrow(add, kind).collect()
     return [np.frombuffer(bytes(r["values"]), number) for r in sorted(rows, key=lambda r: r["chunk"])]
 
 
@@ -200,11 +231,11 @@ def _chunked(values: np.ndarray, salt: int, number: type = np.float64) -> pa.Rec
     )
 
 
-def _task_salt() -> int:
+def _task_salt(tasks: int) -> int:
     from pyspark import TaskContext
 
     context = TaskContext.get()
-    return (context.partitionId() if context else 0) % 64
+    return (context.partitionId() if context else 0) % max(1, math.isqrt(tasks))
 
 
 def _pack(values: np.ndarray, edges: np.ndarray) -> pa.Array:
@@ -223,7 +254,10 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def count_words(texts: DataFrame, buckets: int) -> DataFrame:
-    """Counts of all tokens, packed by bucket: bucket, tokens, groups, counts. Tasks add up their own tokens first."""
+    """Counts of all tokens, packed by bucket: bucket, tokens, groups, counts. Tasks add up their own tokens first.
+
+    Rows of bucket -1 - g hold how often each spelling group follows group g.
+    """
 
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         token, group = (np.concatenate(c) for c in zip(*held))
@@ -238,9 +272,12 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        follows = np.zeros(GROUPS * GROUPS, np.int64)
         for batch in batches:
             for _, _, data, offsets in text_parts(batch.column(0)):
-                token, group, _ = tokens_of(data, offsets)
+                token, group, owner = tokens_of(data, offsets)
+                same = owner[1:] == owner[:-1]
+                follows += np.bincount(group[:-1][same] * GROUPS + group[1:][same], minlength=GROUPS * GROUPS)
                 held.append((token, group))
                 size += len(token)
                 if size >= FLUSH_TOKENS:
@@ -248,8 +285,16 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield flush(held)
+        follows = follows.reshape(GROUPS, GROUPS)
+        some = np.flatnonzero(follows.any(axis=1))
+        none = pa.array([b""] * len(some), pa.binary())
+        columns = [pa.array(-1 - some, pa.int32()), none, none, pa.array([follows[g].tobytes() for g in some], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "tokens", "groups", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
+        if group.column("bucket")[0].as_py() < 0:
+            n = _joined(group.column("counts"), np.int64).reshape(-1, GROUPS).sum(axis=0)
+            return pa.table([*(group.column(c)[:1] for c in ("bucket", "tokens", "groups")), pa.array([n.tobytes()], pa.binary())], names=["bucket", "tokens", "groups", "counts"])
         token, first, order, n = _summed(_joined(group.column("tokens"), np.uint64), _joined(group.column("counts"), np.int64))
         groups = _joined(group.column("groups"), np.uint16)[order][first]
         whole = [pa.array([v.tobytes()], pa.binary()) for v in (token, groups, n)]
@@ -259,20 +304,12 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(work, kind).groupBy("bucket").applyInArrow(add, kind)
 
 
-def neighbour_counts(texts: DataFrame) -> np.ndarray:
+def neighbour_counts(counted: DataFrame) -> np.ndarray:
     """How often each spelling group follows each other one."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(GROUPS * GROUPS)
-        for batch in batches:
-            for _, _, data, offsets in text_parts(batch.column(0)):
-                _, group, owner = tokens_of(data, offsets)
-                same = owner[1:] == owner[:-1]
-                total += np.bincount(group[:-1][same] * GROUPS + group[1:][same], minlength=GROUPS * GROUPS)
-        yield _chunked(total, _task_salt())
-
-    sums = sum_arrays(texts.mapInArrow(work, "chunk int, salt int, values binary"))
-    return (np.concatenate(sums) if sums else np.zeros(GROUPS * GROUPS)).reshape(GROUPS, GROUPS)
+    follows = np.zeros((GROUPS, GROUPS))
+    for row in counted.filter("bucket < 0").select("bucket", "counts").collect():
+        follows[-1 - row["bucket"]] = np.frombuffer(bytes(row["counts"]), np.int64)
+    return follows
 
 
 def cluster_groups(follows: np.ndarray, seed: int = 3) -> np.ndarray:
@@ -304,6 +341,7 @@ def cluster_groups(follows: np.ndarray, seed: int = 3) -> np.ndarray:
 
 def leaf_masses(vocabulary: DataFrame, classes: np.ndarray, levels: int) -> np.ndarray:
     """Counts plus one of all words, by class and leaf."""
+    tasks = vocabulary.rdd.getNumPartitions()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES << levels)
@@ -312,39 +350,42 @@ def leaf_masses(vocabulary: DataFrame, classes: np.ndarray, levels: int) -> np.n
                 token, count = np.frombuffer(tokens.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.int64)
                 target = classes[np.frombuffer(groups.as_buffer(), np.uint16)]
                 total += np.bincount((target << levels) + leaves_of(token, levels), weights=count + 1.0, minlength=len(total))
-        yield _chunked(total, _task_salt())
+        yield _chunked(total, _task_salt(tasks))
 
-    sums = sum_arrays(vocabulary.select("tokens", "groups", "counts").mapInArrow(work, "chunk int, salt int, values binary"))
+    sums = sum_arrays(vocabulary.select("tokens", "groups", "counts").mapInArrow(work, "chunk int, salt int, values binary"), tasks)
     return (np.concatenate(sums) if sums else np.zeros(CLASSES << levels)).reshape(CLASSES, 1 << levels)
 
 
-def gradient_parts(texts: DataFrame, model: ClassModel, tree: WordTree) -> DataFrame:
+def gradient_parts(texts: DataFrame, model: ClassModel, tree: WordTree, tasks: int) -> DataFrame:
     """Sums over texts, added up in each task: observed and expected counts of each (feature, class), slope and bend of each branch weight."""
     shared = texts.sparkSession.sparkContext.broadcast((model, tree))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, tree = shared.value
         n = FEATURES * BUCKETS
-        seen, expected = np.zeros(n * CLASSES), np.zeros((n, CLASSES))
-        branches = np.zeros(len(tree.weights), np.complex128)
+        seen, expected = np.zeros(n * CLASSES), np.zeros((CLASSES, n))
+        # Branches go to an array of half the size, which stays nearer to the core, and from there to the exact sums.
+        branches, recent, size = np.zeros(len(tree.weights), np.complex128), np.zeros(len(tree.weights), np.complex64), 0
         for batch in batches:
             for _, _, data, offsets in text_parts(batch.column(0), 1 << 19):
                 token, group, owner = tokens_of(data, offsets)
                 histories, target = histories_of(token, owner), model.classes[group]
                 features = buckets_of(histories)
-                p = np.exp(model.log_classes(features))
+                model.add_expected(features, expected)
                 for f in features:
                     seen += np.bincount(f * CLASSES + target, minlength=n * CLASSES)
-                    order = np.argsort(f.astype(np.int16), kind="stable")
-                    first = np.flatnonzero(np.r_[True, f[order][1:] != f[order][:-1]])
-                    expected[f[order][first]] += np.add.reduceat(p[order], first, axis=0)
-                tree.add_gradient(histories, target, leaves_of(token, tree.levels), branches)
-        yield _chunked(np.concatenate([seen, expected.ravel(), branches.real, branches.imag]), _task_salt(), np.float32)
+                tree.add_gradient(histories, target, leaves_of(token, tree.levels), recent)
+                size += len(token)
+                if size >= EXACT_TOKENS:
+                    branches += recent
+                    recent[:], size = 0, 0
+        branches += recent
+        yield _chunked(np.concatenate([seen, expected.T.ravel(), branches.real, branches.imag]), _task_salt(tasks), np.float32)
 
     return texts.mapInArrow(work, "chunk int, salt int, values binary")
 
 
-def train(training: DataFrame, classes: np.ndarray, group_tokens: np.ndarray, group_words: np.ndarray, tree: WordTree) -> tuple[ClassModel, WordTree]:
+def train(training: DataFrame, size: int, classes: np.ndarray, group_tokens: np.ndarray, group_words: np.ndarray, tree: WordTree) -> tuple[ClassModel, WordTree]:
     """Fit both softmaxes: ROUNDS synchronous updates, each from the texts of its share of the keys.
 
     The step of a class weight is the logarithm of observed over expected count, divided by the number of features that are
@@ -354,13 +395,14 @@ def train(training: DataFrame, classes: np.ndarray, group_tokens: np.ndarray, gr
     words = np.bincount(classes, weights=group_words, minlength=CLASSES)
     prior = (tokens + 1) / (tokens.sum() + CLASSES)
     model = ClassModel(np.zeros((FEATURES * BUCKETS, CLASSES), np.float32), np.log(prior).astype(np.float32), classes, np.log10(tokens + words + 1))
-    # A task sends one array of sums, so a few tasks' texts go to one.
-    spread = 2 * training.sparkSession.sparkContext.defaultParallelism
-    training = training.coalesce(max(spread, training.rdd.getNumPartitions() // 4))
+    # A task sends one array of sums, so there are tasks for all cores, and more of them only for more text.
+    cores = training.sparkSession.sparkContext.defaultParallelism
+    tasks = cores * max(1, -(-size // (GRADIENT_BYTES * cores)))
+    training = training.coalesce(tasks)
     share = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("round")), F.lit(ROUNDS))
     n = FEATURES * BUCKETS * CLASSES
     for r in range(ROUNDS):
-        sums = sum_arrays(gradient_parts(training.filter(share == r).select("text"), model, tree), np.float32)
+        sums = sum_arrays(gradient_parts(training.filter(share == r).select("text"), model, tree, tasks), tasks, np.float32)
         if not sums:
             continue
         sums = np.concatenate(sums)
@@ -409,7 +451,7 @@ def score_parts(rows: DataFrame, model: ClassModel, tree: WordTree, common: tupl
                 token, group, owner = tokens_of(data, offsets)
                 target = model.classes[group]
                 histories = histories_of(token, owner)
-                logp = model.log_classes(buckets_of(histories))[np.arange(len(token)), target] / np.log(10)
+                logp = model.log_targets(buckets_of(histories), target) / np.log(10)
                 gain = tree.log_gain(histories, target, leaves_of(token, tree.levels)) / np.log(10)
                 classed = np.bincount(owner, weights=logp - model.log_sizes[target], minlength=n)
                 # A text's result depends on its tokens alone, so equal texts share one number and are counted once.
@@ -492,7 +534,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", modulu
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(1 << 16, 1 << max(0, int(np.ceil(np.log2(max(1, size / 40 / BUCKET_WORDS))))))
     training = rows.filter(remainder(F.col("key"), modulus) != held)
-    vocabulary = materialize(count_words(training.select("text"), buckets), "vocabulary")
+    counted = materialize(count_words(training.select("text"), buckets), "vocabulary")
+    vocabulary = counted.filter("bucket >= 0")
+    tasks = vocabulary.rdd.getNumPartitions()
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, words = np.zeros(GROUPS), np.zeros(GROUPS)
@@ -501,9 +545,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", modulu
                 groups, counts = np.frombuffer(groups.as_buffer(), np.uint16), np.frombuffer(counts.as_buffer(), np.int64)
                 tokens += np.bincount(groups, weights=counts, minlength=GROUPS)
                 words += np.bincount(groups, minlength=GROUPS)
-        yield _chunked(np.concatenate([tokens, words]), _task_salt())
+        yield _chunked(np.concatenate([tokens, words]), _task_salt(tasks))
 
-    sums = sum_arrays(vocabulary.select("groups", "counts").mapInArrow(totals, "chunk int, salt int, values binary"))
+    sums = sum_arrays(vocabulary.select("groups", "counts").mapInArrow(totals, "chunk int, salt int, values binary"), tasks)
     group_tokens, group_words = (np.concatenate(sums) if sums else np.zeros(2 * GROUPS)).reshape(2, GROUPS)
     n, v = int(group_tokens.sum()), int(group_words.sum())
     least = max(1, -(-n // COMMON))
@@ -518,18 +562,18 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", modulu
     # At most COMMON words can each have a share of 1 / COMMON.
     found = vocabulary.select("tokens", "counts").mapInArrow(common, "tokens binary, counts binary").collect()
     often = tuple(np.frombuffer(b"".join(bytes(r[c]) for r in found), kind) for c, kind in (("tokens", np.uint64), ("counts", np.int64)))
-    classes = cluster_groups(neighbour_counts(training.select("text")))
+    classes = cluster_groups(neighbour_counts(counted))
     levels = min(LEVELS, max(1, int(np.ceil(np.log2(max(1, v / CLASSES))))))
     bits = min(WEIGHT_BITS[1], max(WEIGHT_BITS[0], int(np.ceil(np.log2(max(1, n / 2))))))
-    model, tree = train(training, classes, group_tokens, group_words, WordTree.of(leaf_masses(vocabulary, classes, levels), bits))
+    model, tree = train(training, size, classes, group_tokens, group_words, WordTree.of(leaf_masses(vocabulary, classes, levels), bits))
     out = F.coalesce(remainder(F.col("key"), modulus) == held, F.lit(False)).alias("held_out")
     scored = materialize(score_parts(rows.select(F.struct("key", out).alias("row"), "text"), model, tree, often, buckets), "scored")
     rare = rare_sums(scored.filter("kind = 1").select("bucket", "texts", "tokens", "times", "gains"), vocabulary, buckets)
     rare = materialize(rare, "rare").withColumnsRenamed({"content": "c", "n_known": "rare_known", "counted": "rare_counted", "ranked": "rare_ranked"})
     whole = scored.filter("kind = 0").join(rare, F.col("content") == F.col("c"), "left")
-    counted = F.col("counted") + F.coalesce("rare_counted", F.lit(0.0))
+    base = F.col("counted") + F.coalesce("rare_counted", F.lit(0.0))
     return whole.select(
         F.col("row.key").alias(key), F.col("row.held_out").alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (counted - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        (counted + F.col("classed") + F.col("ranked") + F.coalesce("rare_ranked", F.lit(0.0))).alias("score"),
+        F.lit(n).cast("long").alias("train_tokens"), (base - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
+        (base + F.col("classed") + F.col("ranked") + F.coalesce("rare_ranked", F.lit(0.0))).alias("score"),
     )
