@@ -16,9 +16,9 @@ from tagloom.sources.named_files import write_named_lines
 from tagloom.sources.sinks import write_fastq
 
 
-def staged_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived reads as a stored table, as a run would find its reads."""
-    return materialize(d.derived_reads(spark, sf_dir), "reads")
+def staged_reads(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The derived reads as a stored table, as a run would find its reads; with the named columns, or all."""
+    return materialize(d.derived_reads(spark, sf_dir).select(*(columns or ["*"])), "reads")
 
 
 def derived_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

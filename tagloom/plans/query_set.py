@@ -41,7 +41,8 @@ def library_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def decode_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return Q.staged_reads(spark, sf_dir), *library_tables(spark, sf_dir)
+    # Keys and qualities would only be written: decoding takes no more than these.
+    return Q.staged_reads(spark, sf_dir, "selection_id", "read_id", "seq"), *library_tables(spark, sf_dir)
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
