@@ -12,6 +12,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -292,31 +293,25 @@ def _search_block(called: DataFrame, tags: list[tuple[str, str]], strands: list[
         if not len(open_):
             return batch
         seqs = [(s or "").encode() for s in columns["seq"].take(pa.array(open_)).to_pylist()]
-        values = {c: columns[c].to_pylist() for c in answer}
-        best = np.array([-1 if values["lib_mismatches"][i] is None else values["lib_mismatches"][i] for i in open_.tolist()])
+        texts = {c: np.array(columns[c].to_pylist(), dtype=object) for c in ("strand", "library_id")}
+        numbers = {c: pc.fill_null(columns[c], 0).to_numpy(zero_copy_only=False).copy() for c in answer if c not in texts}
+        lacks = {c: columns[c].is_null().to_numpy(zero_copy_only=False).copy() for c in numbers}
+        best = np.where(lacks["lib_mismatches"][open_], -1, numbers["lib_mismatches"][open_]).astype(np.int64)
+        found_names = np.array([*index.names, AMBIGUOUS], dtype=object)  # the last one is that of tag -1
         for strand in strands:
             sides = seqs if strand == "+" else [s[::-1].translate(complement) for s in seqs]
             distance, tag, start, end, surplus = find_tags(index, sides)
+            name = found_names[tag]
             better = (distance >= 0) & ((best < 0) | (distance < best))
             # As near as what an earlier block found on this strand, but another library.
-            level = (distance >= 0) & (distance == best)
-
-            def place(row: int, i: int, start=start, end=end, surplus=surplus) -> None:
-                values["lib_pos"][row], values["lib_end"][row], values["lib_surplus"][row] = int(start[i]), int(end[i]), int(surplus[i])
-
-            for i in np.flatnonzero(better | level).tolist():
-                row = int(open_[i])
-                name = index.names[tag[i]] if tag[i] >= 0 else AMBIGUOUS
-                if better[i]:
-                    values["strand"][row], values["library_id"][row] = strand, name
-                    place(row, i)
-                    values["lib_mismatches"][row] = int(distance[i])
-                elif values["strand"][row] == strand and values["library_id"][row] != name:
-                    values["library_id"][row] = AMBIGUOUS
-                    if end[i] < values["lib_end"][row]:
-                        place(row, i)
+            level = (distance >= 0) & (distance == best) & (texts["strand"][open_] == strand) & (texts["library_id"][open_] != name)
+            texts["library_id"][open_[level]] = AMBIGUOUS
+            texts["strand"][open_[better]], texts["library_id"][open_[better]] = strand, name[better]
+            moved = better | (level & (end < numbers["lib_end"][open_]))
+            for c, v in (("lib_pos", start), ("lib_end", end), ("lib_surplus", surplus), ("lib_mismatches", distance)):
+                numbers[c][open_[moved]], lacks[c][open_[moved]] = v[moved], False
             best = np.where(better, distance, best)
-        fresh = {c: pa.array(v, pa.string() if c in ("strand", "library_id") else pa.int32()) for c, v in values.items()}
+        fresh = {c: pa.array(v, pa.string()) for c, v in texts.items()} | {c: pa.array(v, pa.int32(), mask=lacks[c]) for c, v in numbers.items()}
         return pa.RecordBatch.from_arrays([fresh.get(c, columns[c]) for c in names], names=names)
 
     return called.mapInArrow(kernel, schema)
